@@ -1,3 +1,3 @@
 """Imports every query module so that all queries are registered."""
 
-from trendlens.plans import text_queries  # noqa: F401
+from trendlens.plans import table_queries, text_queries  # noqa: F401
