@@ -1,3 +1,4 @@
 """Imports every query module so that all queries are registered."""
 
-from trendlens.plans import feature_queries, table_queries, text_queries  # noqa: F401
+from trendlens.plans import (  # noqa: F401
+    feature_queries, neighbor_queries, table_queries, text_queries)
