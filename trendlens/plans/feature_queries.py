@@ -247,3 +247,55 @@ def length_vs_perf(spark, sf_dir):
     g = E.length_vs_perf(j, "n_chars", ["quality", "toxic"], bucket_width=1000)
     return g.select("length_bucket", "n", r6(F.col("avg_quality")).alias("avg_quality"),
                     r6(F.col("avg_toxic")).alias("avg_toxic"))
+
+
+# ---- TF-IDF -------------------------------------------------------------------
+
+def _doc_words(spark, sf_dir):
+    from trendlens.functions import text as T
+    from trendlens.functions.stopwords import stop_words
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", T.remove_stopwords(T.word_list(T.clean_text("text")),
+                                                 stop_words()).alias("words"))
+
+
+def _tfidf_sql_prefix() -> str:
+    from trendlens.plans import sqlfrag as S
+    return f"""
+w AS (SELECT doc_id, {S.tokens(S.remove_stopwords(S.word_list(S.clean_text('text'))))} AS toks
+      FROM documents),
+t AS (SELECT doc_id, unnest(toks) AS term FROM w),
+pd AS (SELECT doc_id, term, count(*) AS cnt FROM t GROUP BY doc_id, term),
+st AS (SELECT term, sum(cnt) AS tf, count(*) AS df FROM pd GROUP BY term),
+v AS (SELECT term, tf, df FROM st ORDER BY tf DESC, term LIMIT 10000),
+n AS (SELECT count(*) AS n FROM documents)"""
+
+
+register("tfidf_vocab", f"""
+WITH {_tfidf_sql_prefix()}
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS BIGINT) AS term_index,
+       CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df,
+       {R6('ln((1.0 + n) / (1.0 + df)) + 1.0')} AS idf
+FROM v, n
+""")(lambda spark, sf_dir: _tfidf_vocab(spark, sf_dir))
+
+
+def _tfidf_vocab(spark, sf_dir):
+    from trendlens.operators.tfidf import fit_vocab
+    voc = fit_vocab(_doc_words(spark, sf_dir), "doc_id", "words")
+    return voc.table.select("term", "term_index", "tf", "df", r6(F.col("idf")).alias("idf"))
+
+
+@register("tfidf_weights", f"""
+WITH {_tfidf_sql_prefix()},
+x AS (SELECT pd.doc_id, pd.term, pd.cnt * (ln((1.0 + n) / (1.0 + v.df)) + 1.0) AS w
+      FROM pd JOIN v USING (term), n),
+nn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM x GROUP BY doc_id)
+SELECT x.doc_id, x.term, {R6('x.w / nn.norm')} AS weight FROM x JOIN nn USING (doc_id)
+""")
+def tfidf_weights(spark, sf_dir):
+    from trendlens.operators.tfidf import fit_vocab, tfidf_long
+    words = _doc_words(spark, sf_dir)
+    voc = fit_vocab(words, "doc_id", "words")
+    return tfidf_long(words, "doc_id", "words", voc).select(
+        "doc_id", "term", r6(F.col("weight")).alias("weight"))
