@@ -2,4 +2,4 @@
 
 from trendlens.plans import (  # noqa: F401
     feature_queries, model_queries, neighbor_queries, table_queries, text_queries,
-    video_queries)
+    source_queries, video_queries)
