@@ -56,10 +56,12 @@ class TfidfVocab:
 
 
 def fit_vocab(df: DataFrame, id_col: str, words_col: str,
-              max_features: int = MAX_FEATURES) -> TfidfVocab:
-    """T2 + idf: choose the vocabulary and its idf weights."""
+              max_features: int = MAX_FEATURES, terms: DataFrame | None = None) -> TfidfVocab:
+    """T2 + idf: choose the vocabulary and its idf weights.  ``terms`` may be
+    a materialised ``doc_terms`` table shared with ``tfidf_long``."""
     n_docs = df.count()
-    stats = term_stats(doc_terms(df, id_col, words_col))
+    terms = terms if terms is not None else doc_terms(df, id_col, words_col)
+    stats = term_stats(terms)
     top = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
     # At most max_features rows: a single ordered window is bounded here.
     idx = top.withColumn("term_index", (F.row_number().over(Window.orderBy("term")) - 1)
@@ -69,9 +71,10 @@ def fit_vocab(df: DataFrame, id_col: str, words_col: str,
     return TfidfVocab(table, n_docs)
 
 
-def tfidf_long(df: DataFrame, id_col: str, words_col: str, vocab: TfidfVocab) -> DataFrame:
+def tfidf_long(df: DataFrame, id_col: str, words_col: str, vocab: TfidfVocab,
+               terms: DataFrame | None = None) -> DataFrame:
     """(doc, term, term_index, weight) for vocabulary terms of each document."""
-    terms = doc_terms(df, id_col, words_col)
+    terms = terms if terms is not None else doc_terms(df, id_col, words_col)
     v = F.broadcast(vocab.table.select("term", "term_index", "idf"))
     w = terms.join(v, "term").select("doc", "term", "term_index",
                                      (F.col("cnt") * F.col("idf")).alias("raw"))

@@ -254,7 +254,7 @@ def length_vs_perf(spark, sf_dir):
 def _doc_words(spark, sf_dir):
     from trendlens.functions import text as T
     from trendlens.functions.stopwords import stop_words
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id")
     return d.select("doc_id", T.remove_stopwords(T.word_list(T.clean_text("text")),
                                                  stop_words()).alias("words"))
 
@@ -282,7 +282,8 @@ FROM v, n
 
 def _tfidf_vocab(spark, sf_dir):
     from trendlens.operators.tfidf import fit_vocab
-    voc = fit_vocab(_doc_words(spark, sf_dir), "doc_id", "words")
+    words = _doc_words(spark, sf_dir)
+    voc = fit_vocab(words, "doc_id", "words")
     return voc.table.select("term", "term_index", "tf", "df", r6(F.col("idf")).alias("idf"))
 
 
@@ -294,8 +295,9 @@ nn AS (SELECT doc_id, sqrt(sum(w * w)) AS norm FROM x GROUP BY doc_id)
 SELECT x.doc_id, x.term, {R6('x.w / nn.norm')} AS weight FROM x JOIN nn USING (doc_id)
 """)
 def tfidf_weights(spark, sf_dir):
-    from trendlens.operators.tfidf import fit_vocab, tfidf_long
+    from trendlens.operators.tfidf import doc_terms, fit_vocab, tfidf_long
     words = _doc_words(spark, sf_dir)
-    voc = fit_vocab(words, "doc_id", "words")
-    return tfidf_long(words, "doc_id", "words", voc).select(
+    terms = doc_terms(words, "doc_id", "words").checkpoint(eager=True)
+    voc = fit_vocab(words, "doc_id", "words", terms=terms)
+    return tfidf_long(words, "doc_id", "words", voc, terms=terms).select(
         "doc_id", "term", r6(F.col("weight")).alias("weight"))

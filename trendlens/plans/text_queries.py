@@ -16,21 +16,23 @@ from trendlens.plans.registry import register, table
 def lang_profile(spark, sf_dir):
     """Flagship: clean -> words -> keep-first dedup on (lang, words) ->
     labels left join -> per-language profile."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "text")
     cleaned = docs.select(
         "doc_id", "lang", T.clean_text("text").alias("text_cleaned"))
     words = cleaned.withColumn("words", T.word_list("text_cleaned"))
+    # Only the key is wide; everything carried through the dedup shuffle
+    # besides it is a few numbers per document.
     feats = words.select(
-        "doc_id", "lang", "text_cleaned",
+        "doc_id", "lang", F.length("text_cleaned").alias("text_length"),
         F.size("words").cast("long").alias("n_words"),
         T.join_words("words").alias("words_str"))
-    kept = dedup_first(feats, keys=["lang", "words_str"], order=["doc_id"])
+    kept = dedup_first(feats, keys=["lang", "words_str"], order=["doc_id"]).drop("words_str")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = kept.join(labels, on="doc_id", how="left")
     return j.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.sum("n_words").cast("long").alias("n_words"),
-        F.round(F.avg(F.length("text_cleaned")), 6).alias("avg_length"),
+        F.round(F.avg("text_length"), 6).alias("avg_length"),
         F.count("quality").alias("n_labelled"),
         F.coalesce(F.sum("toxic"), F.lit(0)).cast("long").alias("n_toxic"),
     )
@@ -57,7 +59,7 @@ SELECT doc_id, {S.clean_text('text')} AS text_cleaned,
 FROM documents
 """)
 def text_clean(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id")
     c = T.clean_text("text")
     return d.select("doc_id", c.alias("text_cleaned"), F.length(c).cast("long").alias("text_length"))
 
@@ -68,7 +70,7 @@ SELECT conv_id, turn, role, {S.clean_text('text')} AS text_cleaned,
 FROM conversations
 """)
 def text_clean_turns(spark, sf_dir):
-    d = table(spark, sf_dir, "conversations")
+    d = table(spark, sf_dir, "conversations", "conv_id")
     c = T.clean_text("text")
     return d.select("conv_id", "turn", "role", c.alias("text_cleaned"),
                     F.length(c).cast("long").alias("text_length"))
@@ -82,7 +84,7 @@ SELECT page_id, CAST(len(urls) AS BIGINT) AS n_urls, array_to_string(urls, ' ')
 FROM u
 """)
 def extract_urls(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = table(spark, sf_dir, "pages", "page_id")
     urls = F.concat(T.extract_urls("url"), T.extract_urls("html"))
     return p.select("page_id", F.size(urls).cast("long").alias("n_urls"),
                     F.array_join(urls, " ").alias("urls"))
@@ -98,7 +100,7 @@ SELECT page_id, CAST(len(em) AS BIGINT) AS n_emoji_runs, array_to_string(em, ' '
 FROM u
 """)
 def extract_emojis(spark, sf_dir):
-    p = table(spark, sf_dir, "pages")
+    p = table(spark, sf_dir, "pages", "page_id")
     em = F.concat(T.extract_emojis("url"), T.extract_emojis("html"))
     return p.select("page_id", F.size(em).cast("long").alias("n_emoji_runs"),
                     F.array_join(em, " ").alias("emojis"),
@@ -112,7 +114,7 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS word_count, {S.join_words('words')}
 FROM w
 """)
 def word_features(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id")
     words = T.word_list(T.clean_text("text"))
     return d.select("doc_id", F.size(words).cast("long").alias("word_count"),
                     T.join_words(words).alias("words_str"))
@@ -126,7 +128,7 @@ SELECT doc_id, {S.join_words('kept')} AS kept_str,
 FROM k
 """)
 def stopword_filter(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id")
     words = d.select("doc_id", T.word_list(T.clean_text("text")).alias("words"))
     kept = words.withColumn("kept", T.remove_stopwords("words", stop_words()))
     return kept.select("doc_id", T.join_words("kept").alias("kept_str"),
@@ -140,7 +142,7 @@ SELECT doc_id, translate(text, chr(10) || chr(13), '  ') AS text_scrubbed,
 FROM documents
 """)
 def scrub_newlines(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id")
     breaks = F.length("text") - F.length(F.translate("text", "\n\r", ""))
     return d.select("doc_id", T.scrub_newlines("text").alias("text_scrubbed"),
                     breaks.cast("long").alias("n_breaks"))

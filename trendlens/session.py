@@ -39,8 +39,7 @@ def get_spark(master: str | None = None, app: str = "trendlens",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return prepare(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -61,6 +60,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trendlens`` importable in Python workers (pandas UDF kernels).
+
+    Equivalent to ``spark-submit --py-files trendlens.zip``: the package is
+    zipped once on the driver and added with ``addPyFile``; Spark serves it to
+    every executor.  Idempotent per SparkContext.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_trendlens_shipped", False):
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="trendlens-pyfiles-"), "trendlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    sc._trendlens_shipped = True
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Everything a query needs from the session: workers can import the
+    package, and a checkpoint folder is set."""
+    ship_package(spark)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
