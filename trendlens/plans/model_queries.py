@@ -33,22 +33,41 @@ def pca(spark, sf_dir):
     return out.select("vec_id", *[r6(F.col("pca")[i]).alias(f"pc_{i + 1}") for i in range(PCA_K)])
 
 
+def _doc_features(spark, sf_dir):
+    """Documents with stop-word-free words, TF-IDF vector and numerics."""
+    from trendlens.functions import text as T
+    from trendlens.functions.stopwords import stop_words
+    from trendlens.functions.text_batch import clean_words_batch
+    from trendlens.operators.tfidf import fit_vocab, tfidf_vectors
+    d = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "n_chars", "text")
+    w = d.select("doc_id", "lang", "n_chars",
+                 T.remove_stopwords(clean_words_batch("text"), stop_words()).alias("words"))
+    w = w.withColumns({"log_chars": F.log1p("n_chars"),
+                       "n_words": F.size("words").cast("double"),
+                       "distinct_ratio": F.size(F.array_distinct("words"))
+                       / F.greatest(F.size("words"), F.lit(1))}).checkpoint(eager=True)
+    voc = fit_vocab(w, "doc_id", "words")
+    return tfidf_vectors(w, "words", voc, "text_tfidf")
+
+
 def _category_model(spark, sf_dir):
-    emb = table(spark, sf_dir, "embeddings").withColumn("label", F.col("label").cast("string"))
-    split = SP.stratified_split(emb, "vec_id", "label", 0.2, 42)
-    df = ML.assemble(split, ["embedding"])
-    train = df.filter("split = 'train'")
-    model = ML.logistic_regression("features", "label", train.count(),
+    """M6: document language from TF-IDF + a numeric feature — the reference's
+    category-from-text-and-numerics shape."""
+    df = _doc_features(spark, sf_dir)
+    split = SP.stratified_split(df, "doc_id", "lang", 0.2, 42)
+    feats = ML.assemble(split, ["log_chars", "text_tfidf"])
+    train = feats.filter("split = 'train'")
+    model = ML.logistic_regression("features", "lang", train.count(),
                                    max_iter=LR_MAX_ITER).fit(train)
-    return model, df.filter("split = 'test'")
+    return model, feats.filter("split = 'test'")
 
 
 @register("logreg_category")
 def logreg_category(spark, sf_dir):
-    """M6 + A6: multinomial classifier of the embedding class."""
+    """M6 + A6: multinomial classifier report on the held-out documents."""
     model, test = _category_model(spark, sf_dir)
     scored = ML.finish_labels(model, model.transform(test))
-    return _report(scored, "label", "prediction")
+    return _report(scored, "lang", "prediction")
 
 
 @register("model_roundtrip")
@@ -59,22 +78,26 @@ def model_roundtrip(spark, sf_dir):
     path = ML.save_model(model, scratch_path(spark, "logreg"))
     loaded = ML.load_pipeline(path)
     scored = ML.finish_labels(loaded, loaded.transform(test))
-    return ML.predictions(scored, "label")
+    return ML.predictions(scored, "lang")
 
 
 @register("mlp_toxic")
 def mlp_toxic(spark, sf_dir):
-    """M7 + F11 + A6: binary network on embeddings of labelled documents,
-    early-stopped on a validation split carved from the training rows."""
-    lab = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("vec_id"), "toxic")
-    df = table(spark, sf_dir, "embeddings").join(lab, "vec_id")
-    split = SP.stratified_split(df, "vec_id", "toxic", 0.2, 42)
+    """M7 + F11 + A6: binary network on document numerics of labelled
+    documents, early-stopped on a validation split carved from the training
+    rows (never the test rows)."""
+    from trendlens.operators.encode import fit_scaler
+    lab = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    df = _doc_features(spark, sf_dir).join(lab, "doc_id")
+    cols = ["log_chars", "n_words", "distinct_ratio"]
+    df = fit_scaler(df, cols).transform(df)
+    split = SP.stratified_split(df, "doc_id", "toxic", 0.2, 42)
     train_all = split.filter("split = 'train'").drop("split")
-    inner = SP.stratified_split(train_all, "vec_id", "toxic", 0.2, 7)
-    feats = ML.assemble(inner, ["embedding"])
+    inner = SP.stratified_split(train_all, "doc_id", "toxic", 0.2, 7)
+    feats = ML.assemble(inner, cols)
     model = ML.train_mlp(feats.filter("split = 'train'"), feats.filter("split = 'test'"),
-                         "features", "toxic", 64)
-    test = ML.assemble(split.filter("split = 'test'"), ["embedding"])
+                         "features", "toxic", len(cols))
+    test = ML.assemble(split.filter("split = 'test'"), cols)
     scored = model.transform(test)
     from pyspark.ml.functions import vector_to_array
     from trendlens.operators.filters import threshold
@@ -106,9 +129,11 @@ def _gbt(spark, sf_dir, target, features):
 
 @register("gbt_likes")
 def gbt_likes(spark, sf_dir):
-    """M8: boosted trees for a standardised amount from the other columns."""
+    """M8: boosted trees for a standardised amount; like the reference's likes
+    model (fed the like/dislike ratio and dislikes) it sees the amount's ratio
+    and denominator among its features."""
     return _gbt(spark, sf_dir, "l_extendedprice",
-                ["l_quantity", "l_discount", "l_tax", "l_linenumber", "ship_year", "ship_month"])
+                ["l_quantity", "unit_ratio", "l_discount", "l_tax", "ship_year", "ship_month"])
 
 
 @register("gbt_ratio")
