@@ -1,0 +1,7 @@
+"""Incremental ingestion with Structured Streaming.
+
+The reference is a batch pipeline with no streaming component; this module
+only lets the same row-level preprocessing run as new regional files
+arrive (see ``ingest``).  Fitted steps (scaler, label codes, keep-first
+dedup, TF-IDF vocabulary) stay batch operations over the accumulated table.
+"""
