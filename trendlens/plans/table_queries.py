@@ -44,6 +44,24 @@ def date_parts(spark, sf_dir):
                     D.day_of_week(ts).cast("long").alias("order_day_of_week"))
 
 
+@register("parse_iso_ts", """
+WITH s AS (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS iso FROM events),
+p AS (SELECT event_id, iso, CAST(strptime(iso, '%Y-%m-%dT%H:%M:%S.%gZ') AS TIMESTAMP) AS t FROM s)
+SELECT event_id, iso, CAST(year(t) AS BIGINT) AS y, CAST(hour(t) AS BIGINT) AS h,
+       CAST(minute(t) AS BIGINT) AS mi, CAST(CAST(t AS DATE) AS DATE) AS d
+FROM p
+""")
+def parse_iso_ts(spark, sf_dir):
+    """ISO-8601 text with a zone designator (the publish_time format)
+    parsed to a UTC timestamp; parts read back in UTC."""
+    e = table(spark, sf_dir, "events")
+    s = e.select("event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("iso"))
+    t = D.parse_iso_ts("iso")
+    return s.select("event_id", "iso", F.year(t).cast("long").alias("y"),
+                    F.hour(t).cast("long").alias("h"), F.minute(t).cast("long").alias("mi"),
+                    F.to_date(t).alias("d"))
+
+
 @register("parse_trending_date", """
 WITH s AS (SELECT o_orderkey, strftime(o_orderdate, '%y.%d.%m') AS trending_str FROM orders),
 p AS (SELECT o_orderkey, trending_str, CAST(strptime(trending_str, '%y.%d.%m') AS DATE) AS d
