@@ -116,3 +116,11 @@ def test_tfidf_vector_matches_long_form(spark):
     for r in vec.collect():
         for i, x in enumerate(r["a"]):
             assert abs(x - long.get((r["doc_id"], i), 0.0)) < 1e-9
+
+
+def test_silhouette_same_for_whole_and_split_clusters(spark):
+    from trendlens.operators.cluster import silhouette
+    e = _emb(spark)
+    whole = silhouette(e, "vec_id", "embedding", "label", 64).first()[0]
+    split = silhouette(e, "vec_id", "embedding", "label", 64, tile_rows=32).first()[0]
+    assert abs(whole - split) < 1e-12
