@@ -93,3 +93,49 @@ def tfidf_vectors(df: DataFrame, words_col: str, vocab: TfidfVocab, out: str) ->
     nm = Normalizer(p=2.0, inputCol=f"__w_{out}", outputCol=out)
     x = df.withColumn(tok, token_filter(words_col))
     return nm.transform(ep.transform(cv.transform(x))).drop(tok, f"__tf_{out}", f"__w_{out}")
+
+
+def fit_vocabs(df: DataFrame, id_col: str, fields: dict, max_features: int = MAX_FEATURES):
+    """Several text columns at once (``fields``: name -> word-list column).
+
+    One explode over ``(field, doc, term)``, one materialised count table,
+    one statistics aggregation, then a bounded top-N per field; returns
+    ``({field: TfidfVocab}, counts)`` where ``counts`` is the shared
+    ``(field, doc, term, cnt)`` table for ``tfidf_long_multi``.
+    """
+    n_docs = df.count()
+    parts = [df.select(F.lit(f).alias("field"), F.col(id_col).alias("doc"),
+                       F.explode(token_filter(c)).alias("term")) for f, c in fields.items()]
+    tok = parts[0]
+    for p in parts[1:]:
+        tok = tok.unionByName(p)
+    counts = (tok.groupBy("field", "doc", "term").agg(F.count(F.lit(1)).alias("cnt"))
+                 .checkpoint(eager=True))
+    stats = (counts.groupBy("field", "term")
+                   .agg(F.sum("cnt").cast("long").alias("tf"),
+                        F.count(F.lit(1)).cast("long").alias("df"))
+                   .checkpoint(eager=True))
+    vocabs = {}
+    idf = F.log((F.lit(1.0) + F.lit(float(n_docs))) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
+    for f in fields:
+        top = (stats.filter(F.col("field") == f).drop("field")
+                    .orderBy(F.desc("tf"), F.asc("term")).limit(max_features))
+        idx = top.withColumn("term_index",
+                             (F.row_number().over(Window.orderBy("term")) - 1).cast("long"))
+        table = idx.select("term", "term_index", "tf", "df", idf.alias("idf")) \
+                   .checkpoint(eager=True)
+        vocabs[f] = TfidfVocab(table, n_docs)
+    return vocabs, counts
+
+
+def tfidf_long_multi(counts: DataFrame, vocabs: dict) -> DataFrame:
+    """(field, doc, term_index, weight) for all fields in one pass; the
+    vocabularies (at most N rows each) are broadcast."""
+    v = None
+    for f, voc in vocabs.items():
+        t = voc.table.select(F.lit(f).alias("field"), "term", "term_index", "idf")
+        v = t if v is None else v.unionByName(t)
+    w = counts.join(F.broadcast(v), ["field", "term"]).select(
+        "field", "doc", "term_index", (F.col("cnt") * F.col("idf")).alias("raw"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("field", "doc")))
+    return w.select("field", "doc", "term_index", (F.col("raw") / norm).alias("weight"))

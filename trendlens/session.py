@@ -96,3 +96,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "trendlens", f"{name}-{uuid.uuid4().hex[:12]}")
+
