@@ -199,9 +199,47 @@ def davies_bouldin(spark, sf_dir):
     return d.select(r6(F.col("davies_bouldin_score")).alias("davies_bouldin_score"))
 
 
-@register("dbscan_evaluation")
+@register("dbscan_evaluation", _DBSCAN_SQL + f""",
+p2 AS (SELECT p.id, lab.cluster_label AS label, p.v FROM pts p JOIN lab ON lab.vec_id = p.id
+       WHERE lab.cluster_label <> -1),
+sd AS (SELECT a.id, a.label, b.label AS other, sum(list_distance(a.v, b.v)) AS dsum,
+              count(*) AS cnt
+       FROM p2 a JOIN p2 b ON a.id <> b.id GROUP BY a.id, a.label, b.label),
+own AS (SELECT id, dsum / cnt AS a FROM sd WHERE other = label),
+oth AS (SELECT id, min(dsum / cnt) AS b FROM sd WHERE other <> label GROUP BY id),
+sil AS (SELECT avg(CASE WHEN own.a IS NULL OR oth.b IS NULL THEN 0.0
+                        ELSE (oth.b - own.a) / greatest(own.a, oth.b) END) AS sil
+        FROM p2 LEFT JOIN own ON own.id = p2.id LEFT JOIN oth ON oth.id = p2.id),
+x AS (SELECT id, label, unnest(v) AS x, generate_subscripts(v, 1) AS dim FROM p2),
+cen AS (SELECT label, dim, avg(x) AS mu FROM x GROUP BY label, dim),
+g AS (SELECT dim, avg(x) AS mu FROM x GROUP BY dim),
+nn AS (SELECT count(*) AS n, count(DISTINCT label) AS k FROM p2),
+cnt AS (SELECT label, count(*) AS n_c FROM p2 GROUP BY label),
+bb AS (SELECT sum(cnt.n_c * (cen.mu - g.mu) * (cen.mu - g.mu)) AS b
+       FROM cen JOIN g USING (dim) JOIN cnt USING (label)),
+ww AS (SELECT sum((x.x - cen.mu) * (x.x - cen.mu)) AS w FROM x JOIN cen USING (label, dim)),
+ch AS (SELECT (bb.b / (nn.k - 1)) / (ww.w / (nn.n - nn.k)) AS ch FROM bb, ww, nn),
+cv AS (SELECT label, list(mu ORDER BY dim) AS c FROM cen GROUP BY label),
+sp AS (SELECT p2.label, avg(list_distance(p2.v, cv.c)) AS s FROM p2 JOIN cv USING (label)
+       GROUP BY p2.label),
+pw AS (SELECT a.label, max((sa.s + sb.s) / list_distance(a.c, b.c)) AS worst
+       FROM cv a JOIN cv b ON a.label <> b.label JOIN sp sa ON sa.label = a.label
+       JOIN sp sb ON sb.label = b.label GROUP BY a.label),
+db AS (SELECT avg(worst) AS db FROM pw),
+cc AS (SELECT count(DISTINCT cluster_label) FILTER (WHERE cluster_label <> -1) AS n_clusters,
+              count(*) FILTER (WHERE cluster_label = -1) AS n_noise FROM lab)
+SELECT CAST(n_clusters AS BIGINT) AS n_clusters, CAST(n_noise AS BIGINT) AS n_noise,
+       CAST({EPS} AS DOUBLE) AS eps, CAST({MIN_SAMPLES} AS INTEGER) AS min_samples,
+       'euclidean' AS metric, 'auto' AS algorithm,
+       CASE WHEN n_clusters > 1 THEN {R6('sil')} END AS silhouette_score,
+       CASE WHEN n_clusters > 1 THEN {R6('ch')} END AS calinski_harabasz_score,
+       CASE WHEN n_clusters > 1 THEN {R6('db')} END AS davies_bouldin_score
+FROM cc, sil, ch, db
+""")
 def dbscan_evaluation(spark, sf_dir):
     """The reference's metrics bundle for the DBSCAN labels."""
     emb = _emb(spark, sf_dir)
     labels = CL.dbscan(emb, "vec_id", "embedding", EPS, MIN_SAMPLES, DIM)
-    return CL.cluster_evaluation(emb, labels, "vec_id", "embedding", DIM, EPS, MIN_SAMPLES)
+    ev = CL.cluster_evaluation(emb, labels, "vec_id", "embedding", DIM, EPS, MIN_SAMPLES)
+    scores = ("silhouette_score", "calinski_harabasz_score", "davies_bouldin_score")
+    return ev.select(*[r6(F.col(c)).alias(c) if c in scores else F.col(c) for c in ev.columns])
