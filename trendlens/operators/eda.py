@@ -32,17 +32,20 @@ def summary_stats(df: DataFrame, cols: list[str], exact: bool = False,
                  F.max(x).alias(f"{c}__max"),
                  _quantiles(c, QUARTILES, exact, accuracy).alias(f"{c}__q")]
     wide = df.agg(*aggs)
-    parts = [wide.select(F.lit(c).alias("column_name"),
-                         F.col(f"{c}__count").cast("long").alias("count"),
-                         F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                         F.col(f"{c}__min").alias("min"),
-                         F.col(f"{c}__q")[0].alias("q25"), F.col(f"{c}__q")[1].alias("q50"),
-                         F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max"))
-             for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    rows = [F.struct(F.lit(c).alias("column_name"),
+                     F.col(f"{c}__count").cast("long").alias("count"),
+                     F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
+                     F.col(f"{c}__min").alias("min"),
+                     F.col(f"{c}__q")[0].alias("q25"), F.col(f"{c}__q")[1].alias("q50"),
+                     F.col(f"{c}__q")[2].alias("q75"), F.col(f"{c}__max").alias("max"))
+            for c in cols]
+    return long_rows(wide, rows)
+
+
+def long_rows(wide: DataFrame, rows: list) -> DataFrame:
+    """One aggregated row -> one row per struct, without a union (a union of
+    projections would let each branch re-run its own scan)."""
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -50,12 +53,8 @@ def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
     wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
                     .alias(f"{a}__{b}") for a, b in pairs])
-    parts = [wide.select(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                         F.col(f"{a}__{b}").alias("corr")) for a, b in pairs]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return long_rows(wide, [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                                     F.col(f"{a}__{b}").alias("corr")) for a, b in pairs])
 
 
 def category_perf(df: DataFrame, keys: list[str], measures: list[str],

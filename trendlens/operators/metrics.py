@@ -1,7 +1,8 @@
 """Evaluation metrics as aggregations (survey A5-A7).
 
 Every metric is a small aggregate over (actual, predicted) pairs; the only
-shuffle is the (label x label) confusion count, which is map-side combined.
+shuffle of the input is the (label x label) confusion count, which is
+map-side combined.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ def _safe_div(a, b):
 def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Per-class precision / recall / F1 / support plus 'accuracy',
     'macro avg' and 'weighted avg' rows.  Labels are the union of actual and
-    predicted values; zero divisions give 0."""
-    cm = confusion(df, actual, predicted)
+    predicted values; zero divisions give 0.  The input is scanned once: the
+    confusion counts (at most labels^2 rows) are materialised and every
+    per-class and summary row is derived from them."""
+    cm = confusion(df, actual, predicted).checkpoint(eager=True)
     per_actual = cm.groupBy(F.col("actual").alias("label")).agg(F.sum("n").alias("support"))
     per_pred = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("n_pred"))
     tp = cm.filter(F.col("actual") == F.col("predicted")) \

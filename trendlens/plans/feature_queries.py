@@ -44,12 +44,10 @@ MOMENT_COLS = ["l_quantity", "l_discount", "l_tax"]
 def moments(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     wide = EN.moments(li, MOMENT_COLS)
-    parts = [wide.select(F.lit(c).alias("column_name"), r6(F.col(f"{c}__mean")).alias("mean"),
-                         r6(F.col(f"{c}__std")).alias("std")) for c in MOMENT_COLS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return E.long_rows(wide, [F.struct(F.lit(c).alias("column_name"),
+                                       r6(F.col(f"{c}__mean")).alias("mean"),
+                                       r6(F.col(f"{c}__std")).alias("std"))
+                              for c in MOMENT_COLS])
 
 
 @register("label_encode", """
