@@ -124,3 +124,31 @@ def test_silhouette_same_for_whole_and_split_clusters(spark):
     whole = silhouette(e, "vec_id", "embedding", "label", 64).first()[0]
     split = silhouette(e, "vec_id", "embedding", "label", 64, tile_rows=32).first()[0]
     assert abs(whole - split) < 1e-12
+
+
+def test_bounded_broadcast_only_under_bound(spark):
+    import io, contextlib
+    from trendlens.operators.joins import bounded_broadcast
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(bounded_broadcast(small, 100), "k"))
+        assert "BroadcastHashJoin" not in plan(small.join(bounded_broadcast(big, 100), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ensure_parallelism(spark):
+    from trendlens.operators.partitioning import ensure_parallelism
+    one = spark.range(0, 100, numPartitions=1)
+    many = spark.range(0, 100, numPartitions=16)
+    target = spark.sparkContext.defaultParallelism
+    assert ensure_parallelism(one, "id").rdd.getNumPartitions() == target
+    assert ensure_parallelism(many, "id").rdd.getNumPartitions() == 16
