@@ -41,3 +41,10 @@ def test_model_roundtrip(spark):
     df = E.queries()["model_roundtrip"](spark, SF_CHECK)
     assert df.columns == ["Actual", "Predicted"] and df.count() == 200
     assert df.filter(F.col("Predicted").isNull()).count() == 0
+
+
+def test_pca_query_schema(spark):
+    from tests.conftest import SF_SMALL
+    df = E.queries()["pca"](spark, SF_SMALL)
+    assert df.columns == ["vec_id"] + [f"pc_{i}" for i in range(1, 8)]
+    assert df.count() == spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
