@@ -300,3 +300,34 @@ def tfidf_weights(spark, sf_dir):
     voc = fit_vocab(words, "doc_id", "words", terms=terms)
     return tfidf_long(words, "doc_id", "words", voc, terms=terms).select(
         "doc_id", "term", r6(F.col("weight")).alias("weight"))
+
+
+@register("tfidf_vectors", f"""
+WITH {_tfidf_sql_prefix()},
+vi AS (SELECT term, df, row_number() OVER (ORDER BY term) - 1 AS term_index FROM v),
+x AS (SELECT pd.doc_id, vi.term_index, pd.cnt * (ln((1.0 + n) / (1.0 + vi.df)) + 1.0) AS w
+      FROM pd JOIN vi USING (term), n),
+nn AS (SELECT doc_id, term_index, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight
+       FROM x),
+agg AS (SELECT doc_id, count(*) AS nnz, sum(term_index * weight) AS checksum,
+               sum(weight * weight) AS sq FROM nn GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(agg.nnz, 0) AS BIGINT) AS nnz,
+       {R6('coalesce(agg.checksum, 0.0)')} AS checksum, {R6('coalesce(agg.sq, 0.0)')} AS sq_norm
+FROM documents d LEFT JOIN agg USING (doc_id)
+""")
+def tfidf_vectors(spark, sf_dir):
+    """M3 vector form (CountVectorizerModel + idf scaling + L2 Normalizer, as
+    fed to the models), summarised per document so it can be compared with
+    the long form."""
+    from pyspark.ml.functions import vector_to_array
+    from trendlens.operators.tfidf import fit_vocab, tfidf_vectors as to_vectors
+    words = _doc_words(spark, sf_dir)
+    voc = fit_vocab(words, "doc_id", "words")
+    arr = vector_to_array(F.col("v"))
+    vec = to_vectors(words, "words", voc, "v").select("doc_id", arr.alias("a"))
+    idx = F.sequence(F.lit(0), F.size("a") - 1)
+    return vec.select(
+        "doc_id", F.size(F.filter("a", lambda x: x != 0)).cast("long").alias("nnz"),
+        r6(F.aggregate(F.zip_with("a", idx, lambda x, i: x * i), F.lit(0.0),
+                       lambda acc, y: acc + y)).alias("checksum"),
+        r6(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x)).alias("sq_norm"))
