@@ -1,33 +1,22 @@
 """Multilingual stop-word set (survey U2).
 
-The reference unions five language lists.  The offline equivalent is the set
-shipped inside Spark MLlib (the same files ``StopWordsRemover
-.loadDefaultStopWords`` serves); they are read straight from the MLlib jar so
-the Spark expression and the SQL oracle inline the identical list without a
-JVM round trip.
+Fixed values: the five lists are the public ones that Spark's
+``StopWordsRemover.loadDefaultStopWords`` serves, one word a line, shipped as
+data files of this package.  Reading them needs no JVM, no jar and no session.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
+from importlib import resources
 
 DEFAULT_LANGUAGES = ("english", "spanish", "german", "french", "russian")
 
 
 @functools.lru_cache(maxsize=None)
 def load_language(lang: str) -> tuple[str, ...]:
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                  "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{lang}.txt")
-    return tuple(w for w in raw.decode("utf-8").split() if w)
+    raw = resources.files("trendlens.data").joinpath("stopwords", f"{lang}.txt").read_text("utf-8")
+    return tuple(raw.split())
 
 
 def stop_words(langs=DEFAULT_LANGUAGES) -> list[str]:

@@ -32,9 +32,21 @@ def join_words(x: str) -> str:
     return f"coalesce(array_to_string({x}, ' '), '')"
 
 
+#: Stands for the stop-word list in registered SQL until ``resolve`` is called.
+STOP_WORDS_MARK = "/*stop words*/"
+
+
 def stopword_literal() -> str:
+    return f"[{STOP_WORDS_MARK}]"
+
+
+def resolve(sql: str) -> str:
+    """Fill in the stop words; done when the SQL is asked for, so that
+    registering a query reads no file."""
+    if STOP_WORDS_MARK not in sql:
+        return sql
     words = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_words())
-    return f"[{words}]"
+    return sql.replace(STOP_WORDS_MARK, words)
 
 
 def remove_stopwords(x: str) -> str:

@@ -46,8 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     The value comes from ``spark.checkpoint.dir`` (or a directory already set
-    on the context).  Only when neither is set — local tests — a private
-    folder is created.
+    on the context).  Only a ``local`` master (tests) may leave both unset and
+    gets a private folder; on a cluster that folder would be on one machine,
+    so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all "
+                             "executors share")
         configured = tempfile.mkdtemp(prefix="trendlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -77,7 +81,7 @@ def ship_package(spark: SparkSession) -> None:
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
-                if f.endswith(".py"):
+                if f.endswith((".py", ".txt")):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
     sc.addPyFile(out)
