@@ -3,6 +3,7 @@ and keeps the columns of the query's contract."""
 
 from __future__ import annotations
 
+from trendlens.llm import fingerprint as fp
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
 from trendlens.plans.registry import register, table
@@ -13,3 +14,8 @@ def op8_quality_rules(spark, sf_dir):
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", "base_failed", "kept")
+
+
+@register("op9_fingerprint", sql.FINGERPRINT)
+def op9_fingerprint(spark, sf_dir):
+    return fp.neighbour_fingerprints(table(spark, sf_dir, "documents"))

@@ -50,3 +50,48 @@ SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM m LEFT JOIN o ON m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source
   LEFT JOIN a ON m.lang IS NOT DISTINCT FROM a.lang
 """
+
+
+_VECTORS = """
+par AS (SELECT k, doc_id, unnest(string_split(t, chr(10))) AS p FROM texts),
+dense AS (SELECT k, doc_id, j, sum(CAST('0x' || substr(h, 8 * j + 1, 8) AS BIGINT)) % 4294967296 AS v
+  FROM (SELECT k, doc_id, unnest(range(32)) AS j, sha256('0:' || p) || sha256('1:' || p)
+        || sha256('2:' || p) || sha256('3:' || p) AS h FROM par) GROUP BY ALL),
+mark AS (SELECT k, doc_id, CAST('0x' || substr(md5(unnest(regexp_extract_all(t, '[^.!?\\n]+'))), 1, 2)
+                               AS BIGINT) AS c FROM texts),
+net AS (SELECT k, doc_id, c % 128 AS j, sum(CASE WHEN c < 128 THEN 1 ELSE -1 END) AS v
+        FROM mark GROUP BY ALL),
+grid AS (SELECT k, doc_id, unnest(range(128)) AS j FROM texts),
+signed AS (SELECT g.k, g.doc_id, g.j, CAST(coalesce(v, 0) AS BIGINT) AS v
+           FROM grid g LEFT JOIN net USING (k, doc_id, j)),
+fp AS (SELECT k, doc_id, d.hex || s.hex AS f, s.vs FROM
+  (SELECT k, doc_id, string_agg(lpad(to_hex(CAST(v AS BIGINT)), 8, '0'), '' ORDER BY j) AS hex
+   FROM dense GROUP BY ALL) d JOIN
+  (SELECT k, doc_id, string_agg(lpad(to_hex((v + 65536) % 65536), 4, '0'), '' ORDER BY j) AS hex,
+     list(v ORDER BY j) AS vs FROM signed GROUP BY ALL) s USING (k, doc_id))"""
+
+_DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1] * z[2]))"
+
+
+def _near(a: str, b: str) -> str:
+    dot, aa, bb = (_DOT.format(a=f"{x}.vs", b=f"{y}.vs") for x, y in ((a, b), (a, a), (b, b)))
+    cosine = f"CAST({dot} AS DOUBLE) / nullif(sqrt(CAST({aa} AS DOUBLE) * CAST({bb} AS DOUBLE)), 0)"
+    return (f"CASE WHEN {a}.f = {b}.f THEN 1.0 ELSE "
+            f"greatest(0.0, least(1.0, coalesce({cosine}, 0.0))) END")
+
+
+FINGERPRINT = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id) AS i,
+             count(*) OVER () AS n FROM documents),
+e AS (SELECT a.doc_id, a.t, b.doc_id AS next_id, CAST(floor(length(a.t) / 4) AS BIGINT) AS c,
+        b.t AS next_t FROM d a JOIN d b ON b.i = a.i % a.n + 1),
+ed AS (SELECT doc_id, t, next_id, substr(t, 1, length(t) - c) || substr(next_t, 1, c) AS x FROM e),
+texts AS (SELECT 0 AS k, doc_id, t FROM ed UNION ALL SELECT 1, doc_id, x FROM ed),
+{_VECTORS}
+SELECT ed.doc_id, CAST(length(ed.t) AS BIGINT) AS n_chars, sha256(ed.x) AS edited_sha256,
+  lower(o.f) AS fingerprint, lower(x.f) AS edited_fingerprint,
+  {_near('o', 'x')} AS near_edited, {_near('o', 'nx')} AS near_next
+FROM ed JOIN fp o ON o.k = 0 AND o.doc_id = ed.doc_id
+  JOIN fp x ON x.k = 1 AND x.doc_id = ed.doc_id
+  JOIN fp nx ON nx.k = 0 AND nx.doc_id = ed.next_id
+"""
