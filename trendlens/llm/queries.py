@@ -4,11 +4,17 @@ and keeps the columns of the query's contract."""
 from __future__ import annotations
 
 from trendlens.llm import fingerprint as fp
+from trendlens.llm import near_duplicates as near
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
 from trendlens.plans.registry import register, table
 
 
+@register("op3_near_duplicates", sql.NEAR_DUPLICATES)
+def op3_near_duplicates(spark, sf_dir):
+    return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 @register("op8_quality_rules", sql.QUALITY_RULES)
 def op8_quality_rules(spark, sf_dir):
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
