@@ -66,3 +66,23 @@ def shipped(spark: SparkSession) -> None:
     """Workers can import the package (for operators called outside a query)."""
     from trendlens.session import prepare
     prepare(spark)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_label: int,
+                    modulus: int = 3, held_out: int = 1) -> list[tuple[int, str]]:
+    """At most ``per_label`` texts of each label 0 and 1, as (label, text).
+
+    Rows whose crc32 remainder is ``held_out`` are never taken, nor those
+    without id, label or document.  The choice follows a hash of the id, so it
+    is the same on any cluster; a label row that repeats counts once."""
+    rows = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
+        F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), modulus) != held_out)).distinct()
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    chosen = None
+    for value in (0, 1):
+        part = rows.where(F.col("label") == value).orderBy(*order).limit(per_label)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # At most 2 * per_label ids are broadcast.
+    found = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    got = found.select("label", "text", F.xxhash64("doc_id").alias("at")).collect()
+    return [(r["label"], r["text"]) for r in sorted(got, key=lambda r: (r["at"], r["text"]))]

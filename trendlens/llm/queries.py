@@ -3,10 +3,13 @@ and keeps the columns of the query's contract."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
+from trendlens.llm import toxicity as tox
 from trendlens.plans.registry import register, table
 
 
@@ -15,6 +18,13 @@ def op3_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@register("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    out = tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", "n_sentences",
+                      F.size("offending").cast("long").alias("n_offending"))
+
+
 @register("op8_quality_rules", sql.QUALITY_RULES)
 def op8_quality_rules(spark, sf_dir):
     out = quality.quality_rules(table(spark, sf_dir, "documents"))
