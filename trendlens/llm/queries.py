@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
+from trendlens.llm import quality_classifier as classifier
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
 from trendlens.llm import toxicity as tox
@@ -35,3 +36,9 @@ def op8_quality_rules(spark, sf_dir):
 @register("op9_fingerprint", sql.FINGERPRINT)
 def op9_fingerprint(spark, sf_dir):
     return fp.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@register("op10_quality_classifier")
+def op10_quality_classifier(spark, sf_dir):
+    out = classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
