@@ -7,18 +7,33 @@ from pyspark.sql import functions as F
 
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
+from trendlens.llm import prefix_tokens
 from trendlens.llm import quality_classifier as classifier
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
 from trendlens.llm import toxicity as tox
 from trendlens.plans.registry import register, table
 
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 @register("op3_near_duplicates", sql.NEAR_DUPLICATES)
 def op3_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@register("op6_token_counts")
+def op6_token_counts(spark, sf_dir):
+    return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
+
+
 @register("op7_toxicity")
 def op7_toxicity(spark, sf_dir):
     out = tox.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
