@@ -34,7 +34,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared scratch folder and read back:
     lineage ends there, and a lost executor costs no recomputation."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

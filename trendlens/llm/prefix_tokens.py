@@ -54,7 +54,7 @@ def byte_letters() -> dict[int, str]:
 class PrefixCounts:
     """Counts of one vocabulary file; what was met before is kept in a bounded table."""
 
-    def __init__(self, path: str, room: int = 500_000):
+    def __init__(self, path: str, room: int = 800_000):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -75,7 +75,7 @@ class PrefixCounts:
         self._longest = max(map(len, self._tokens))
         self._room, self._words, self._counts, self._prefixes = room, {}, {}, {}
 
-    def word(self, word: str) -> list[int]:
+    def word(self, word: str) -> bytes | list[int]:
         """Token count at every byte prefix of one pre-token, from 0 bytes on."""
         got = self._words.get(word)
         if got is not None:
@@ -92,8 +92,8 @@ class PrefixCounts:
                     last.append(token)
                     counts.append(counts[start] + 1)
                     break
-        self._words[word] = counts
-        return counts
+        self._words[word] = got = bytes(counts) if max(counts) < 256 else counts
+        return got
 
     def _piece(self, piece: str) -> int:
         got = self._counts.get(piece)

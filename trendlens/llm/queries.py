@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
-from trendlens.llm import prefix_tokens
+from trendlens.llm import packing, prefix_tokens
 from trendlens.llm import quality_classifier as classifier
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
@@ -29,6 +29,11 @@ def op3_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@register("op5_packing")
+def op5_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
+
+
 @register("op6_token_counts")
 def op6_token_counts(spark, sf_dir):
     return prefix_tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
