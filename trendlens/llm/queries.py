@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
 from trendlens.llm import packing, prefix_tokens
+from trendlens.llm import piece_transducer as transducer
 from trendlens.llm import quality_classifier as classifier
 from trendlens.llm import quality_rules as quality
 from trendlens.llm import sql
@@ -15,6 +16,7 @@ from trendlens.llm import toxicity as tox
 from trendlens.plans.registry import register, table
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer(name: str) -> str:
@@ -29,6 +31,11 @@ def op3_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
+@register("op4_sentencepiece")
+def op4_sentencepiece(spark, sf_dir):
+    return transducer.round_trip(table(spark, sf_dir, "documents"), tokenizer(PIECE_BPE))
+
+
 @register("op5_packing")
 def op5_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer(BYTE_BPE))
