@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trendlens.llm import brown_model
+from trendlens.llm import archive, brown_model
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
 from trendlens.llm import packing, prefix_tokens
@@ -32,6 +32,11 @@ def op1_class_scores(spark, sf_dir):
     return brown_model.class_scores(table(spark, sf_dir, "documents"))
 
 
+@register("op2_archive", sql.ARCHIVE)
+def op2_archive(spark, sf_dir):
+    return archive.archived(table(spark, sf_dir, "pages"))
+
+
 @register("op3_near_duplicates", sql.NEAR_DUPLICATES)
 def op3_near_duplicates(spark, sf_dir):
     return near.near_duplicates(table(spark, sf_dir, "documents"), width=2)

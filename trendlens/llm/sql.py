@@ -120,3 +120,14 @@ NEAR_DUPLICATES = f"""
 WITH RECURSIVE {near_duplicates('documents', 2)}
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM near
 """
+
+
+ARCHIVE = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+             sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""
