@@ -239,14 +239,14 @@ def exchange(right, left, own, classes: np.ndarray, k: int, turn: int = 0,
         pairs[:, a] -= c
         pairs[a, a] -= s
         np.maximum(pairs, 0.0, out=pairs)
-        rows, columns = pairs.sum(1), pairs.sum(0)
+        # Wherever the unit goes, its neighbours' classes get their counts back.
+        rows, columns = pairs.sum(1) + c, pairs.sum(0) + r
         gain = (_xlogx(pairs + r).sum(1) - _xlogx(pairs).sum(1)
                 + _xlogx(pairs + c[:, None]).sum(0) - _xlogx(pairs).sum(0))
         d = np.diagonal(pairs)
         gain += _xlogx(d + r + c + s) - _xlogx(d + r) - _xlogx(d + c) + _xlogx(d)
         gain -= _xlogx(rows + r.sum() + s) - _xlogx(rows)
         gain -= _xlogx(columns + c.sum() + s) - _xlogx(columns)
-        # What others' rows and columns gain is the same for each class chosen.
         gain[:fixed] = -np.inf
         b = int(np.argmax(gain)) if gain.max() > gain[a] + 1e-9 else a
         pairs[b] += r
