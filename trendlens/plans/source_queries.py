@@ -30,16 +30,15 @@ def roundtrip_csv(spark, sf_dir):
 
 @register("encoding_detect", "SELECT doc_id, lang, text FROM documents")
 def encoding_detect(spark, sf_dir):
-    """One folder per language, French written as ISO-8859-1; every file
+    """Folders by language, French written as ISO-8859-1; every file
     is classified by UTF-8 validity and read with its own encoding."""
     base = scratch_path(spark, "enc")
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    langs = [r["lang"] for r in d.select("lang").distinct().collect()]
-    for lang in langs:
-        enc = "ISO-8859-1" if lang == "fr" else "UTF-8"
-        (d.filter(F.col("lang") == lang).write.mode("overwrite").option("header", True)
-         .option("escape", '"').option("encoding", enc).csv(os.path.join(base, lang)))
-    files = file_encodings(spark, base, "*/*.csv").select("path", "utf8").collect()
+    for enc, of in (("ISO-8859-1", F.col("lang") == "fr"), ("UTF-8", F.col("lang") != "fr")):
+        (d.filter(of).withColumn("part", F.col("lang")).write.partitionBy("part")
+         .option("header", True).option("escape", '"').option("encoding", enc)
+         .csv(os.path.join(base, enc)))
+    files = file_encodings(spark, base, "*/*/*.csv").select("path", "utf8").collect()
     schema = "doc_id long, lang string, text string"
     parts = []
     for utf8, enc in ((True, "UTF-8"), (False, "ISO-8859-1")):
