@@ -33,11 +33,6 @@ def impute_const(df: DataFrame, values: dict) -> DataFrame:
     return df.fillna(values)
 
 
-def select_features(df: DataFrame, cols: list[str]) -> DataFrame:
-    """named projection."""
-    return df.select(*cols)
-
-
 def flags_to_int(df: DataFrame, cols: list[str]) -> DataFrame:
     """booleans -> 0/1 integers."""
     return df.select(*[F.col(c).cast("boolean").cast("int").alias(c) if c in cols else F.col(c)

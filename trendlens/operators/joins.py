@@ -51,14 +51,19 @@ def attach_details(pairs: DataFrame, items: DataFrame, key_left: str, key_right:
     return pairs.join(it, on=key_left, how="inner")
 
 
-def keep_ids(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """membership filter as a semi join (order of ``df`` is irrelevant)."""
-    return df.join(ids.select(key).distinct(), on=key, how="left_semi")
-
-
 def lookup_items(df: DataFrame, query_ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """rows whose id is requested, and the requested ids that do not exist."""
+    """rows whose id is requested, and the requested ids that do not exist."""
     q = query_ids.select(key).distinct()
     found = df.join(q, on=key, how="left_semi")
     missing = q.join(df.select(key), on=key, how="left_anti")
     return found, missing
+
+
+def lookup_rows(df: DataFrame, positions: DataFrame, row_col: str,
+                position_col: str) -> tuple[DataFrame, DataFrame]:
+    """F8: the rows at the requested 0-based positions, and the positions that
+    are out of range (null, negative or past the last row)."""
+    q = positions.select(F.col(position_col).alias("__p")).distinct()
+    found = df.join(q, df[row_col] == q["__p"], "left_semi")
+    bad = q.join(df.select(row_col), q["__p"] == F.col(row_col), "left_anti")
+    return found, bad.select(F.col("__p").alias(position_col))

@@ -18,11 +18,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import IndexToString, PCA, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (IndexToString, PCA, StringIndexer, UnivariateFeatureSelector,
+                                VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -33,19 +34,39 @@ def as_vector(c) -> Column:
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
     """M5: one feature vector in a fixed column order; array columns are
-    converted to vectors first."""
+    converted to vectors first.  A null number counts as 0 (the mean of a
+    standardised column), as it does in the sparse kNN features."""
     tmp, inputs = df, []
     for c in cols:
         dt = df.schema[c].dataType.simpleString()
         if dt.startswith("array"):
             tmp = tmp.withColumn(f"__v_{c}", as_vector(F.col(c).cast("array<double>")))
             inputs.append(f"__v_{c}")
+        elif dt != "vector" and not dt.startswith("struct"):
+            tmp = tmp.withColumn(f"__v_{c}", F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
+            inputs.append(f"__v_{c}")
         else:
             inputs.append(c)
     va = VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="error")
     return va.transform(tmp).drop(*[i for i in inputs if i.startswith("__v_")])
 
 
+def text_and_numbers(text: list[str], width: int, label: str, numbers: str = "numbers",
+                     out: str = "features") -> Pipeline:
+    """Feature stages of a dense network: of each sparse text vector the
+    ``width`` terms with the highest F statistic against the label, and a
+    vector of numbers.  MLlib's network is dense, so whole vocabularies
+    (10,000 terms a field) would make its first layer the cost of the job."""
+    stages = []
+    for c in text:
+        selector = UnivariateFeatureSelector(featuresCol=c, outputCol=f"{c}_selected",
+                                             labelCol=label, selectionMode="numTopFeatures")
+        stages.append(selector.setFeatureType("continuous").setLabelType("categorical")
+                      .setSelectionThreshold(width))
+    return Pipeline(stages=[*stages, VectorAssembler(
+        inputCols=[numbers, *[f"{c}_selected" for c in text]], outputCol=out)])
+
+
 # ---- PCA --------------------------------------------------------------------
 
 @dataclass
@@ -89,9 +110,10 @@ def fit_pca(df: DataFrame, vec_col: str, k: int) -> PCAResult:
 # ---- classifiers / regressors -------------------------------------------------
 
 def logistic_regression(features: str, label: str, n_train: int, C: float = 1438.44988828766,
-                        max_iter: int = 10000, tol: float = 1e-6) -> Pipeline:
-    """M6: multinomial L2 logistic regression with the reference's C."""
-    idx = StringIndexer(inputCol=label, outputCol="__label_idx", handleInvalid="keep",
+                        max_iter: int = 10000, tol: float = 1e-4) -> Pipeline:
+    """M6: multinomial L2 logistic regression with the reference's C and its
+    solver's tolerance.  Rows without a label are filtered before the split."""
+    idx = StringIndexer(inputCol=label, outputCol="__label_idx", handleInvalid="error",
                         stringOrderType="alphabetAsc")
     lr = LogisticRegression(featuresCol=features, labelCol="__label_idx", family="multinomial",
                             regParam=1.0 / (C * max(n_train, 1)), elasticNetParam=0.0,
@@ -154,10 +176,26 @@ def predictions(scored: DataFrame, actual: str, predicted: str = "prediction") -
 
 
 def save_model(model, path: str) -> str:
-    """Persist any MLlib model / pipeline model."""
+    """Persist any MLlib model; a single one as a pipeline of one stage,
+    so that ``load_pipeline`` reads them all."""
+    if not isinstance(model, PipelineModel):
+        model = PipelineModel(stages=[model])
     model.write().overwrite().save(path)
     return path
 
 
+def save_pca(spark: SparkSession, result: PCAResult, path: str) -> str:
+    """The projection as one row."""
+    row = [(result.mean, result.components, result.explained_variance)]
+    spark.createDataFrame(row, "mean array<double>, components array<array<double>>, "
+                               "explained_variance array<double>").write.parquet(path)
+    return path
+
+
+def load_pca(spark: SparkSession, path: str) -> PCAResult:
+    r = spark.read.parquet(path).first()
+    return PCAResult(r["mean"], r["components"], r["explained_variance"])
+
+
 def load_pipeline(path: str) -> PipelineModel:
     return PipelineModel.load(path)

@@ -333,3 +333,40 @@ def dedup_docs(spark, sf_dir):
         "doc_id", "source", T.join_words(clean_words_batch("text")).alias("words_str"))
     kept = DD.dedup_first(d, ["source", "words_str"], ["doc_id"])
     return kept.select("doc_id", "source", F.length("words_str").cast("long").alias("words_length"))
+
+
+# ---- requested rows and ids -----------------------------------------------------
+
+_POSITIONS = "SELECT DISTINCT s_suppkey * 7 - 14 AS position FROM supplier"
+
+
+@register("lookup_by_position", f"""
+WITH p AS ({_POSITIONS}),
+r AS (SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents)
+SELECT p.position, r.doc_id, r.lang, r.doc_id IS NULL AS out_of_range
+FROM p LEFT JOIN r ON r.position = p.position
+""")
+def lookup_by_position(spark, sf_dir):
+    """F8: documents by 0-based position, bad positions reported."""
+    from trendlens.operators.joins import lookup_rows
+    from trendlens.operators.rank import rank_within
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    rows = rank_within(docs, [], ["doc_id"], out="position").withColumn(
+        "position", F.col("position") - 1)
+    asked = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") * 7 - 14).alias("position"))
+    found, bad = lookup_rows(rows, asked, "position", "position")
+    found = found.select("position", "doc_id", "lang", F.lit(False).alias("out_of_range"))
+    return found.unionByName(bad.withColumn("out_of_range", F.lit(True)),
+                             allowMissingColumns=True)
+
+
+@register("lookup_unknown_ids", """
+SELECT DISTINCT p_partkey AS vec_id FROM part
+WHERE p_partkey NOT IN (SELECT vec_id FROM embeddings)
+""")
+def lookup_unknown_ids(spark, sf_dir):
+    """requested ids that no item has, reported instead of dropped."""
+    from trendlens.operators.joins import lookup_items
+    asked = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("vec_id"))
+    return lookup_items(table(spark, sf_dir, "embeddings").select("vec_id"), asked, "vec_id")[1]
