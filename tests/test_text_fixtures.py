@@ -4,7 +4,6 @@ Arrow-batched cleaner, which must agree."""
 from pyspark.sql import functions as F
 
 from trendlens.functions import text as T
-from trendlens.functions import text_batch as TB
 from trendlens.functions.dates import day_of_week, days_between, parse_iso_ts, parse_trending
 
 ROWS = [
@@ -41,8 +40,7 @@ def test_clean_text(spark):
 def test_clean_variants_agree(spark):
     a = _get(spark, T.clean_text("t"))
     b = _get(spark, T.clean_text_stepwise("t"))
-    c = _get(spark, TB.clean_text_batch("t"))
-    assert a == b == c
+    assert a == b
 
 
 def test_emojis_and_urls(spark):
@@ -58,8 +56,7 @@ def test_words(spark):
     words = _get(spark, T.word_list(T.clean_text("t")))
     assert words[4] == ["a", "b"]
     assert words[8] == ["tab", "sep", "fs"]
-    batch = _get(spark, TB.clean_words_batch("t"))
-    assert batch == words
+    assert _get(spark, T.clean_words("t")) == words
 
 
 def test_stopwords_and_tokens(spark):

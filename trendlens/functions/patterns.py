@@ -26,10 +26,10 @@ SPLIT = rf"[{WS}]+"
 # emoji runs and then everything outside [a-zA-Z] + WS deletes exactly the
 # characters outside [a-zA-Z] + (WS minus the emoji ranges); the only WS code
 # point inside the emoji ranges is U+3000.  URLs start with a letter, so one
-# left-to-right pass "URL, else one deletable character" equals the
-# sequential passes.
+# left-to-right pass "URL, else a run of deletable characters" equals the
+# sequential passes; the run is possessive, for no match needs it shorter.
 WS_NOT_EMOJI = WS.replace(r"\x{3000}", "")
-CLEAN_DELETE = rf"{URL}|[^a-zA-Z{WS_NOT_EMOJI}]"
+CLEAN_DELETE = rf"{URL}|[^a-zA-Z{WS_NOT_EMOJI}]++"
 
 # Tokens the TF-IDF vectoriser keeps: runs of two or more word characters.
 # After cleaning only ASCII letters remain, so a word is a token iff len >= 2.

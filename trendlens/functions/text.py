@@ -56,6 +56,13 @@ def word_list(c) -> Column:
     return F.coalesce(parts, empty_str_array())
 
 
+def clean_words(c) -> Column:
+    """X8 of X3: the words of the cleaned text; null -> [].  Cleaning leaves
+    only letters and white space, so words are runs of letters."""
+    runs = F.regexp_extract_all(clean_text(c), F.lit("[a-z]+"), F.lit(0))
+    return F.coalesce(runs, empty_str_array())
+
+
 def word_count(c) -> Column:
     """Number of whitespace tokens; null -> 0."""
     return F.size(word_list(c))

@@ -252,9 +252,8 @@ def length_vs_perf(spark, sf_dir):
 def _doc_words(spark, sf_dir):
     from trendlens.functions import text as T
     from trendlens.functions.stopwords import stop_words
-    from trendlens.functions.text_batch import clean_words_batch
     d = table(spark, sf_dir, "documents", "doc_id")
-    return d.select("doc_id", T.remove_stopwords(clean_words_batch("text"),
+    return d.select("doc_id", T.remove_stopwords(T.clean_words("text"),
                                                  stop_words()).alias("words"))
 
 

@@ -35,11 +35,10 @@ def _doc_features(spark, sf_dir):
     """Documents with stop-word-free words, TF-IDF vector and numerics."""
     from trendlens.functions import text as T
     from trendlens.functions.stopwords import stop_words
-    from trendlens.functions.text_batch import clean_words_batch
     from trendlens.operators.tfidf import fit_vocab, tfidf_vectors
     d = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "n_chars", "text")
     w = d.select("doc_id", "lang", "n_chars",
-                 T.remove_stopwords(clean_words_batch("text"), stop_words()).alias("words"))
+                 T.remove_stopwords(T.clean_words("text"), stop_words()).alias("words"))
     w = w.withColumns({"log_chars": F.log1p("n_chars"),
                        "n_words": F.size("words").cast("double"),
                        "distinct_ratio": F.size(F.array_distinct("words"))

@@ -328,9 +328,8 @@ QUALIFY row_number() OVER (PARTITION BY source, words_str ORDER BY doc_id) = 1
 def dedup_docs(spark, sf_dir):
     """Keep-first on (source, cleaned word string) — the reference's
     (channel, title words) key shape, over whole texts."""
-    from trendlens.functions.text_batch import clean_words_batch
     d = table(spark, sf_dir, "documents", "doc_id").select(
-        "doc_id", "source", T.join_words(clean_words_batch("text")).alias("words_str"))
+        "doc_id", "source", T.join_words(T.clean_words("text")).alias("words_str"))
     kept = DD.dedup_first(d, ["source", "words_str"], ["doc_id"])
     return kept.select("doc_id", "source", F.length("words_str").cast("long").alias("words_length"))
 

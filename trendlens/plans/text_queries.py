@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import patterns as P
 from trendlens.functions import text as T
-from trendlens.functions import text_batch as TB
 from trendlens.functions.stopwords import stop_words
 from trendlens.operators.dedup import dedup_first
 from trendlens.plans import sqlfrag as S
@@ -18,9 +17,8 @@ def lang_profile(spark, sf_dir):
     """Flagship: clean -> words -> keep-first dedup on (lang, words) ->
     labels left join -> per-language profile."""
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "text")
-    cs = docs.select("doc_id", "lang", TB.clean_split_batch("text").alias("c"))
-    words = cs.select("doc_id", "lang", F.col("c.cleaned").alias("text_cleaned"),
-                      F.col("c.words").alias("words"))
+    words = docs.select("doc_id", "lang", T.clean_text("text").alias("text_cleaned"),
+                        T.clean_words("text").alias("words"))
     # Only the key is wide; everything carried through the dedup shuffle
     # besides it is a few numbers per document.
     feats = words.select(
@@ -61,7 +59,7 @@ FROM documents
 """)
 def text_clean(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "doc_id")
-    c = d.select("doc_id", TB.clean_text_batch("text").alias("text_cleaned"))
+    c = d.select("doc_id", T.clean_text("text").alias("text_cleaned"))
     return c.select("doc_id", "text_cleaned",
                     F.length("text_cleaned").cast("long").alias("text_length"))
 
@@ -117,7 +115,7 @@ FROM w
 """)
 def word_features(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "doc_id")
-    w = d.select("doc_id", TB.clean_words_batch("text").alias("words"))
+    w = d.select("doc_id", T.clean_words("text").alias("words"))
     return w.select("doc_id", F.size("words").cast("long").alias("word_count"),
                     T.join_words("words").alias("words_str"))
 
@@ -131,7 +129,7 @@ FROM k
 """)
 def stopword_filter(spark, sf_dir):
     d = table(spark, sf_dir, "documents", "doc_id")
-    words = d.select("doc_id", TB.clean_words_batch("text").alias("words"))
+    words = d.select("doc_id", T.clean_words("text").alias("words"))
     kept = words.withColumn("kept", T.remove_stopwords("words", stop_words()))
     return kept.select("doc_id", T.join_words("kept").alias("kept_str"),
                        (F.size("words") - F.size("kept")).cast("long").alias("n_removed"))
