@@ -95,6 +95,16 @@ def tfidf_vectors(df: DataFrame, words_col: str, vocab: TfidfVocab, out: str) ->
     return nm.transform(ep.transform(cv.transform(x))).drop(tok, f"__tf_{out}", f"__w_{out}")
 
 
+def sparse_parts(df: DataFrame, col: str) -> DataFrame:
+    """A sparse vector column as ``<col>_idx`` and ``<col>_val`` arrays of its
+    non-zero entries; nothing of the vocabulary's width is made."""
+    shape = f"struct<{col}: struct<indices: array<int>, values: array<double>>>"
+    parts = df.withColumn("__p", F.from_json(F.to_json(F.struct(col)), shape)[col])
+    return parts.select(*[c for c in df.columns if c != col],
+                        F.col("__p.indices").alias(f"{col}_idx"),
+                        F.col("__p.values").alias(f"{col}_val"))
+
+
 def fit_vocabs(df: DataFrame, id_col: str, fields: dict, max_features: int = MAX_FEATURES):
     """Several text columns at once (``fields``: name -> word-list column).
 

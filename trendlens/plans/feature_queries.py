@@ -229,8 +229,7 @@ FROM events, f
 def outliers_iqr(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("event_id", "value")
     lo, hi = E.iqr_fences(e, "value", exact=True)
-    c = E.clip_outliers(e, ["value"], exact=True)
-    return c.select("event_id", r6(F.col("value_clipped")).alias("value_clipped"),
+    return e.select("event_id", r6(E.clip_to("value", (lo, hi))).alias("value_clipped"),
                     ((F.col("value") < lo) | (F.col("value") > hi)).cast("int").alias("is_outlier"))
 
 
@@ -318,15 +317,12 @@ def tfidf_vectors(spark, sf_dir):
     """M3 vector form (CountVectorizerModel + idf scaling + L2 Normalizer, as
     fed to the models), summarised per document so it can be compared with
     the long form."""
-    from pyspark.ml.functions import vector_to_array
-    from trendlens.operators.tfidf import fit_vocab, tfidf_vectors as to_vectors
+    from trendlens.operators.tfidf import fit_vocab, sparse_parts, tfidf_vectors as to_vectors
     words = _doc_words(spark, sf_dir)
     voc = fit_vocab(words, "doc_id", "words")
-    arr = vector_to_array(F.col("v"))
-    vec = to_vectors(words, "words", voc, "v").select("doc_id", arr.alias("a"))
-    idx = F.sequence(F.lit(0), F.size("a") - 1)
+    vec = sparse_parts(to_vectors(words, "words", voc, "v").select("doc_id", "v"), "v")
     return vec.select(
-        "doc_id", F.size(F.filter("a", lambda x: x != 0)).cast("long").alias("nnz"),
-        r6(F.aggregate(F.zip_with("a", idx, lambda x, i: x * i), F.lit(0.0),
+        "doc_id", F.size("v_val").cast("long").alias("nnz"),
+        r6(F.aggregate(F.zip_with("v_val", "v_idx", lambda x, i: x * i), F.lit(0.0),
                        lambda acc, y: acc + y)).alias("checksum"),
-        r6(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x * x)).alias("sq_norm"))
+        r6(F.aggregate("v_val", F.lit(0.0), lambda acc, x: acc + x * x)).alias("sq_norm"))
