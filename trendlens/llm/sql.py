@@ -106,11 +106,12 @@ nw AS (SELECT doc_id, regexp_extract_all({lower}, '{_WORD}') AS ws FROM {docs}),
 ns AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {width} THEN [array_to_string(ws, ' ')]
     ELSE list_distinct(list_transform(range(1, len(ws) - {width} + 2),
       lambda i: array_to_string(list_slice(ws, i, i + {width} - 1), ' '))) END AS sh FROM nw),
-nu AS (SELECT doc_id, unnest(sh) AS s FROM ns),
-np AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM nu a JOIN nu b
-       ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
-nl AS (SELECT a, b FROM np JOIN ns x ON x.doc_id = a JOIN ns y ON y.doc_id = b
-       WHERE 100 * n >= 80 * (len(x.sh) + len(y.sh) - n)),
+nu AS (SELECT doc_id, len(sh) AS m, hash(unnest(sh)) AS s FROM ns),
+np AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n, any_value(a.m + b.m) AS m
+       FROM nu a JOIN nu b ON a.s = b.s AND a.doc_id < b.doc_id
+         AND 100 * least(a.m, b.m) >= 80 * greatest(a.m, b.m) GROUP BY ALL),
+nk AS (SELECT a, b FROM np WHERE 100 * n >= 80 * (m - n)),
+nl AS (SELECT a, b FROM nk UNION ALL SELECT b, a FROM nk),
 nr AS (SELECT doc_id AS d, doc_id AS r FROM ns UNION SELECT nl.b, nr.r FROM nr JOIN nl ON nl.a = nr.d),
 near AS (SELECT ns.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id
   FROM ns JOIN (SELECT d, min(r) AS component_id FROM nr GROUP BY d) ON d = ns.doc_id)"""
