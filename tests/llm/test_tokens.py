@@ -138,3 +138,12 @@ def test_packing(documents, edge, nothing, library):
         packed.unpersist()
     assert P.pack(nothing, BPE).collect() == []
     assert P.sequences(P.pack(nothing, BPE, with_ids=True)).agg(F.count("*")).first()[0] == 0
+
+
+def test_encoder_equals_the_library(library):
+    encoder = P.Encoder(BPE)
+    texts = list(some_texts(600, 50))
+    texts += ["".join(c for c in t if c < "ɐ") for t in texts] + ["", "ßÿŁ²ªº¼ I'm\xa0x"]
+    for text, ids in zip(texts, encoder.batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(
+            text, add_special_tokens=False).ids
