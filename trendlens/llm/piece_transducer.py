@@ -21,15 +21,15 @@ repeated rows are encoded alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendlens.llm.common import shipped, text_of
+from trendlens.llm.common import shipped
 from trendlens.llm.merge_pairs import MergePairs
 
 SPACE = "▁"
@@ -44,7 +44,7 @@ class PieceTransducer:
     """``pieces``: (text, score, kind) by id; ``unigram``: the weighing."""
 
     def __init__(self, pieces: list[tuple[str, float, int]], unigram: bool,
-                 dummy_prefix: bool = True, room: int = 700_000):
+                 dummy_prefix: bool = True, room: int = 400_000):
         self.unigram, self.dummy_prefix, self._room = unigram, dummy_prefix, room
         self.ids = {p: k for k, (p, _, kind) in enumerate(pieces) if kind == _NORMAL}
         self._longest = max(map(len, self.ids), default=1)
@@ -56,8 +56,10 @@ class PieceTransducer:
         self._bytes = {int(p[3:5], 16): k for k, (p, _, kind) in enumerate(pieces) if kind == _BYTE}
         self._sides = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         ranks = {p: -s for p, s in scores.items() if len(p) > 1}
-        self._pairs = MergePairs(lambda a, b: ranks.get(a + b), lambda t: len(t) == 1)
-        self._usable: dict[str, bool] = {}
+        self._pairs = MergePairs(lambda a, b: ranks.get(a + b), lambda t: len(t) == 1,
+                                 room=300_000)
+        # Pieces that merging their own text never gives are on no finite path.
+        self._good = {p for p in self.ids if unigram or self._pairs.usable(p)}
         self._texts = [bytes([int(p[3:5], 16)]) if kind == _BYTE else b"" if kind == _CONTROL
                        else p.replace(SPACE, " ").encode("utf-8") for p, _, kind in pieces]
         self._words: dict[str, bytes] = {}
@@ -80,43 +82,52 @@ class PieceTransducer:
         return cls([(p.piece, p.score, p.type) for p in model.pieces], kind == _UNIGRAM,
                    norm.add_dummy_prefix)
 
-    def pair_weight(self, left: str | None, right: str) -> float:
-        if self.unigram or left is None or self._pairs.allows(left, right):
-            return 0.0
-        return _INFINITE
-
-    def _arcs(self, text: str, end: int) -> Iterator[tuple[int, str, float]]:
-        """(start, output, weight) of the arcs that end at a place, longest first."""
-        ids, weights, usable = self.ids, self._weights, self._usable
-        for start in range(max(0, end - self._longest), end):
-            piece = text[start:end]
-            if piece in ids:
-                if not self.unigram:
-                    ok = usable.get(piece)
-                    if ok is None:
-                        ok = usable[piece] = self._pairs.usable(piece)
-                    if not ok:
-                        continue
-                yield start, piece, weights[piece]
-            elif end - start == 1:
-                yield start, piece, self._unknown_weight
-
     def shortest(self, text: str) -> list[str]:
         """Pieces of the least path through a segment's lattice.  A state is a
-        place and, for a byte-pair model, the last piece; there a place has one
-        state of finite weight, so the first arc found ends the search."""
-        best: list[tuple[float, int, str | None]] = [(0.0, 0, None)]
+        place and, for a byte-pair model, the last piece."""
+        return self._least_path(text) if self.unigram else self._finite_path(text)
+
+    def _least_path(self, text: str) -> list[str]:
+        best: list[tuple[float, int, str]] = [(0.0, 0, "")]
         for end in range(1, len(text) + 1):
-            least = (_INFINITE, 0, None)
-            for start, piece, weight in self._arcs(text, end):
-                cost, _, last = best[start]
-                cost += weight + self.pair_weight(last, piece)
-                if cost < least[0]:
-                    least = (cost, start, piece)
-                    if not self.unigram:
-                        break
+            least = (_INFINITE, 0, "")
+            for start in range(max(0, end - self._longest), end):
+                piece = text[start:end]
+                weight = self._weights.get(
+                    piece, self._unknown_weight if end - start == 1 else _INFINITE)
+                if best[start][0] + weight < least[0]:
+                    least = (best[start][0] + weight, start, piece)
             best.append(least)
-        out, at = [], len(text)
+        return self._back(best, len(text))
+
+    def _finite_path(self, text: str) -> list[str]:
+        """With weights 0 and infinity the first finite path to the end is the
+        shortest: depth first, longest arcs first; a state (place, last piece)
+        that leads nowhere is not entered again."""
+        good, longest, allows, n = self._good, self._longest, self._pairs.allows, len(text)
+        pieces: list[str] = []
+        starts: list[int] = []
+        dead: set[tuple[int, str]] = set()
+        at, end = 0, min(n, longest)
+        while at < n:
+            while end > at:
+                piece = text[at:end]
+                if (piece in good or end - at == 1) and (
+                        not pieces or allows(pieces[-1], piece)) and (
+                        not dead or (end, piece) not in dead):
+                    pieces.append(piece)
+                    starts.append(at)
+                    at, end = end, min(n, end + longest)
+                    break
+                end -= 1
+            else:
+                dead.add((at, pieces.pop()))
+                at, end = starts.pop(), at - 1
+        return pieces
+
+    @staticmethod
+    def _back(best: list[tuple[float, int, str]], at: int) -> list[str]:
+        out = []
         while at:
             _, at, piece = best[at]
             out.append(piece)
@@ -218,9 +229,25 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_ids, ids_crc32, round_trip) of every whole text."""
-    rows = docs.select("doc_id", text_of().alias("text"))
-    rows = decode(encode(rows, path), path)
-    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
-                       F.crc32("ids").alias("ids_crc32"),
-                       (F.translate("text", SPACE, " ") == F.col("decoded")).alias("round_trip"))
+    """(doc_id, n_ids, ids_crc32, round_trip) of every whole text: encoded and
+    decoded text by text in one pass, so ids and texts stay in the worker."""
+    shipped(docs.sparkSession)
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_ids", T.LongType()),
+                           T.StructField("ids_crc32", T.LongType()),
+                           T.StructField("round_trip", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = transducer(path)
+        for batch in batches:
+            n, crc, same = [], [], []
+            for t in batch.column(1):
+                text = t.as_py() or ""
+                ids = own.encode(text)
+                n.append(len(ids) // 4)
+                crc.append(zlib.crc32(ids))
+                same.append(own.decode(ids) == text.replace(SPACE, " "))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(crc, pa.int64()),
+                 pa.array(same, pa.bool_())], names=schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
