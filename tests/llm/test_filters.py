@@ -110,6 +110,26 @@ def test_quality_rules_follow_each_group(spark, nothing):
     assert Q.keep_good(nothing).columns == nothing.columns
 
 
+def test_poor_documents_do_not_open_their_sources_limits(spark):
+    def text(key, word="word", end=""):
+        return "\n".join(" ".join(f"{word}{key}x{10 * j + i}" for i in range(10))
+                         for j in range(6)) + end
+    poor = {"symbols": lambda k: text(k, end=" # | $ %" * (4 + k % 9)),
+            "long": lambda k: text(k, "w" * (12 + k % 9)),
+            "lines": lambda k: text(k, end="".join(f"\nx{j}\nx{j}" for j in range(20 + k % 5)))}
+    # Of the hot source, a third of all rows, one in three documents is poor;
+    # of another all are base-failed but two.
+    for kind, make in poor.items():
+        rows = [(k, text(100 + k), f"s{k % 4}") for k in range(480)]
+        rows += [(k, make(100 + k) if k % 3 == 0 else text(100 + k), "hot")
+                 for k in range(480, 780)]
+        rows += [(k, text(k) if k < 802 else "few words", "short") for k in range(800, 840)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+            "*", "'en' AS lang")
+        bad = {r.doc_id for r in Q.quality_rules(docs).where(~F.col("kept")).collect()}
+        assert bad == {*range(480, 780, 3), *range(802, 840)}, kind
+
+
 def test_keep_good_edge_rows(edge):
     out = Q.keep_good(edge)
     assert out.columns == edge.columns

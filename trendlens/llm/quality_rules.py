@@ -2,8 +2,12 @@
 
 Every document gets a few measures of its text.  For each language and source
 a mergeable KLL quantile sketch of each measure is built with map-side partial
-aggregation; its quartiles give that group's own limits, which are joined back
-and decide.  Nothing but sketches (a few kB a group) is gathered.
+aggregation, over the documents that pass the base rule; its quartiles give that
+group's own limits, which are joined back and decide.  The merged sketch of the
+language holds them: a source may tighten its language's limits, but widen their
+distance from the language's median by the factor ``widen`` only, and the median
+itself always lies inside.  So a source full of poor documents does not open its
+own limits.  Nothing but sketches (a few kB a group) is gathered.
 
 Edge cases: a null text is an empty one; an empty text fails the base rule; a
 null language or source is a group of its own; repeated rows are measured and
@@ -25,7 +29,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Measures that the sketches follow, and the least spread taken for each: a
 #: group in which a measure hardly varies does not reject on noise.
-MEASURES = {"word_length": 0.5, "symbol_rate": 0.02, "dup_line_rate": 0.1, "repeat_rate": 0.1}
+MEASURES = {"word_length": 0.4, "symbol_rate": 0.02, "dup_line_rate": 0.08, "repeat_rate": 0.1}
 
 
 @dataclass(frozen=True)
@@ -33,10 +37,12 @@ class RuleConfig:
     """``sketch_k``: size of a sketch (rank error about 1.7 / k^0.9).
     ``width``: a measure may differ from its group's median by so many
     quartile ranges.  ``min_group``: a group with fewer measured documents
-    takes the merged sketch of its language."""
+    takes the merged sketch of its language.  ``widen``: how many times as far
+    from its language's median a group's limits may lie as the language's."""
 
     sketch_k: int = 1024
     width: float = 5.0
+    widen: float = 1.25
     min_group: int = 30
     least_spread: dict = field(default_factory=lambda: dict(MEASURES))
 
@@ -94,23 +100,28 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def thresholds(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
-    """One row per (lang, source): lower and upper limit of each measure."""
+    """One row per (lang, source) with documents that pass the base rule: lower
+    and upper limit of each measure."""
     aggs = [F.kll_sketch_agg_double(m, F.lit(config.sketch_k)).alias(m) for m in MEASURES]
-    groups = written(measured.groupBy("lang", "source").agg(
+    groups = written(measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(
         F.count("word_length").alias("__n"), *aggs), "quality-sketches")
-    merged = groups.where(F.col("__n") > 0).groupBy("lang").agg(
+    merged = groups.groupBy("lang").agg(
         *[F.kll_merge_agg_double(m).alias(f"__all_{m}") for m in MEASURES])
     joined = lookup(groups, written(merged, "quality-language-sketches"), ["lang"])
     out = [F.col("lang"), F.col("source")]
     for m, least in config.least_spread.items():
-        own = F.when(F.col("__n") >= config.min_group, F.col(m)).otherwise(F.col(f"__all_{m}"))
-
-        def q(p: float, sketch: Column = own) -> Column:
-            return F.kll_sketch_get_quantile_double(sketch, F.lit(p))
-
-        far = config.width * F.greatest(q(0.75) - q(0.25), F.lit(least))
-        out += [(q(0.5) - far).alias(f"__low_{m}"), (q(0.5) + far).alias(f"__high_{m}")]
-    return joined.where(F.col("__n") > 0).select(*out)
+        def middle(sketch: Column, spread: float = least) -> tuple[Column, Column]:
+            low, mid, high = [F.kll_sketch_get_quantile_double(sketch, F.lit(p))
+                              for p in (0.25, 0.5, 0.75)]
+            return mid, config.width * F.greatest(high - low, F.lit(spread))
+
+        mid, far = middle(F.when(F.col("__n") >= config.min_group, F.col(m))
+                          .otherwise(F.col(f"__all_{m}")))
+        every, most = middle(F.col(f"__all_{m}"))
+        most = config.widen * most
+        out += [F.least(F.greatest(mid - far, every - most), every).alias(f"__low_{m}"),
+                F.greatest(F.least(mid + far, every + most), every).alias(f"__high_{m}")]
+    return joined.select(*out)
 
 
 def judge(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
