@@ -130,6 +130,19 @@ def test_poor_documents_do_not_open_their_sources_limits(spark):
         assert bad == {*range(480, 780, 3), *range(802, 840)}, kind
 
 
+def test_quality_limits_grow_smoothly_with_a_source(spark):
+    def limits(n):
+        rows = [("en", "large", 5.0 + k % 9 / 2) for k in range(2000)]
+        rows += [("en", "small", 5.0) for _ in range(n)]
+        df = spark.createDataFrame(rows, "lang string, source string, word_length double").selectExpr(
+            "*", "0D AS symbol_rate", "0D AS dup_line_rate", "0D AS repeat_rate",
+            "false AS base_failed")
+        return Q.thresholds(df).where("source = 'small'").first()["__high_word_length"]
+    one, before, after, many = [limits(n) for n in (1, 29, 30, 1000)]
+    assert one > before > after > many
+    assert before - after < 0.02 * (one - many)
+
+
 def test_keep_good_edge_rows(edge):
     out = Q.keep_good(edge)
     assert out.columns == edge.columns

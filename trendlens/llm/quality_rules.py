@@ -36,14 +36,15 @@ MEASURES = {"word_length": 0.4, "symbol_rate": 0.02, "dup_line_rate": 0.08, "rep
 class RuleConfig:
     """``sketch_k``: size of a sketch (rank error about 1.7 / k^0.9).
     ``width``: a measure may differ from its group's median by so many
-    quartile ranges.  ``min_group``: a group with fewer measured documents
-    takes the merged sketch of its language.  ``widen``: how many times as far
+    quartile ranges.  ``half_weight``: a group of so many measured documents
+    weighs as much as its language in the blend of their limits, a smaller one
+    less and a larger one more, at every size.  ``widen``: how many times as far
     from its language's median a group's limits may lie as the language's."""
 
     sketch_k: int = 1024
     width: float = 5.0
     widen: float = 1.25
-    min_group: int = 30
+    half_weight: int = 3
     least_spread: dict = field(default_factory=lambda: dict(MEASURES))
 
 
@@ -115,12 +116,14 @@ def thresholds(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFr
                               for p in (0.25, 0.5, 0.75)]
             return mid, config.width * F.greatest(high - low, F.lit(spread))
 
-        mid, far = middle(F.when(F.col("__n") >= config.min_group, F.col(m))
-                          .otherwise(F.col(f"__all_{m}")))
+        mid, far = middle(F.col(m))
         every, most = middle(F.col(f"__all_{m}"))
+        own = F.col("__n") / (F.col("__n") + config.half_weight)
+        low = own * (mid - far) + (1 - own) * (every - most)
+        high = own * (mid + far) + (1 - own) * (every + most)
         most = config.widen * most
-        out += [F.least(F.greatest(mid - far, every - most), every).alias(f"__low_{m}"),
-                F.greatest(F.least(mid + far, every + most), every).alias(f"__high_{m}")]
+        out += [F.least(F.greatest(low, every - most), every).alias(f"__low_{m}"),
+                F.greatest(F.least(high, every + most), every).alias(f"__high_{m}")]
     return joined.select(*out)
 
 
