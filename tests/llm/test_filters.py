@@ -170,6 +170,28 @@ def test_fingerprints(spark, edge, nothing):
     assert only.near_next == 1
 
 
+def test_stored_fingerprints_take_paragraphs_in_and_out(spark):
+    rows = [(1, "a b. c d.\ne f! g.", "x y.\nc d. e f."), (2, "", "one? two.\n"),
+            (3, "kept.", None), (4, "\n".join(f"p{k} q. r{k}." for k in range(30)),
+                                 "\n".join(f"t{k}! u." for k in range(20)))]
+    whole = [(i, t if m is None else f"{t}\n{m}", m) for i, t, m in rows]
+
+    def stored(part):
+        docs = spark.createDataFrame(part, "doc_id long, text string, more string")
+        return sorted((r.doc_id, r.more, r.fingerprint) for r in G.fingerprint(docs).collect())
+
+    def updated(part, sign):
+        df = spark.createDataFrame(part, "doc_id long, more string, fingerprint string")
+        return sorted(tuple(r) for r in G.update(df, "more", sign).collect())
+
+    before, after = stored(rows), stored(whole)
+    assert updated(before, 1) == after != before
+    assert updated(after, -1) == before
+    one = spark.range(1).select(G.combine(F.expr("array(32000L, -5L)"), F.expr("array(1000L, 3L)"),
+                                          1, True).alias("s")).first().s
+    assert one == [33000 - 65536, -2]
+
+
 def test_pipeline_stages_against_brute_force(spark, documents, labels):
     import corpus_pipeline as pipeline
     from tests.llm.conftest import SF

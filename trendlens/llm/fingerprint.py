@@ -5,7 +5,8 @@ Every paragraph (a text's pieces between line breaks) hashes to a wide vector:
 sentences adds +1 or -1 in one place.  A document's fingerprint is the sum of
 its paragraphs' vectors, modulo 2^32 and 2^16.  So it depends on the multiset
 of paragraphs and not on their order, and a paragraph is put in or taken out by
-adding or subtracting its vector (``combine``).  The signed lanes estimate how
+adding or subtracting its vector (``combine``; ``update`` does so to a stored
+fingerprint).  The signed lanes estimate how
 many sentences two documents share, whatever their number.
 
 Edge cases: a null text is an empty one, which has one empty paragraph; texts
@@ -28,6 +29,12 @@ MOD_DENSE, MOD_SIGNED = 1 << 32, 1 << 16
 SENTENCE = r"[^.!?\n]+"
 
 
+def _signed(x: Column) -> Column:
+    """``x`` modulo 2^16, from -2^15 to 2^15 - 1."""
+    half = MOD_SIGNED >> 1
+    return F.pmod(x + half, F.lit(MOD_SIGNED)) - half
+
+
 def add_fingerprint(df: DataFrame, text: str, dense: str, signed: str) -> DataFrame:
     """Adds the two lane arrays of a non-null text column."""
     hashed = F.transform(F.split(F.col(text), "\n", -1), lambda p: F.concat(
@@ -47,8 +54,7 @@ def add_fingerprint(df: DataFrame, text: str, dense: str, signed: str) -> DataFr
         return (F.length(m) - F.length(F.replace(m, mark, F.lit("")))) / 3
 
     def net(j: Column) -> Column:
-        diff = (times(j) - times(j + SIGNED)).cast("long")
-        return F.pmod(diff + (MOD_SIGNED >> 1), F.lit(MOD_SIGNED)) - (MOD_SIGNED >> 1)
+        return _signed((times(j) - times(j + SIGNED)).cast("long"))
 
     # Naming each staged column twice keeps it evaluated once a row, not once a lane.
     return (df.withColumn(dense, F.when(F.size(h) > 0, F.transform(
@@ -58,9 +64,35 @@ def add_fingerprint(df: DataFrame, text: str, dense: str, signed: str) -> DataFr
             .drop("__hashed", "__marks"))
 
 
-def combine(a: Column, b: Column, sign: int = 1) -> Column:
-    """Dense lanes of a document with paragraphs put in (1) or taken out (-1)."""
-    return F.zip_with(a, b, lambda x, y: F.pmod(x + sign * y, F.lit(MOD_DENSE)))
+def combine(a: Column, b: Column, sign: int = 1, signed: bool = False) -> Column:
+    """Dense, or ``signed``, lanes of a document with paragraphs put in (1) or
+    taken out (-1)."""
+    return F.zip_with(a, b, lambda x, y: _signed(x + sign * y) if signed
+                      else F.pmod(x + sign * y, F.lit(MOD_DENSE)))
+
+
+def lanes_of(fingerprint: Column) -> tuple[Column, Column]:
+    """Dense and signed lanes of a fingerprint text (``as_text``)."""
+    def lanes(n: int, first: int, digits: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.conv(
+            F.substr(fingerprint, j * digits + first, F.lit(digits)), 16, 10).cast("long"))
+
+    return lanes(DENSE, 1, 8), F.transform(lanes(SIGNED, 8 * DENSE + 1, 4), _signed)
+
+
+def update(df: DataFrame, paragraphs: str, sign: int = 1,
+           fingerprint: str = "fingerprint") -> DataFrame:
+    """``df`` with the lines of ``paragraphs`` put in (1) or taken out (-1) of the
+    stored ``fingerprint``, without the document's text.  Where ``paragraphs`` is
+    null the fingerprint stays."""
+    columns = df.columns
+    dense, signed = lanes_of(F.col(fingerprint))
+    df = add_fingerprint(df, paragraphs, "__dp", "__sp")
+    df = df.withColumns({"__d": combine(dense, F.col("__dp"), sign),
+                         "__s": combine(signed, F.col("__sp"), sign, True)})
+    new = F.when(F.col(paragraphs).isNotNull(), as_text("__d", "__s")).otherwise(
+        F.col(fingerprint))
+    return df.withColumn(fingerprint, new).select(*columns)
 
 
 def as_text(dense: str, signed: str) -> Column:
