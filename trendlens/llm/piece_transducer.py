@@ -1,10 +1,13 @@
 """SentencePiece encoding and decoding by a weighted transducer (operator 4).
 
-A model file is compiled into three transducers: the normaliser (a dummy space
-in front, spaces as the mark U+2581), the lexicon (one arc sequence a piece)
-and byte fallback (the UTF-8 bytes of characters that no piece has).  Their
-composition with an input is a lattice of places in the text; the encoding is
-its shortest path in the tropical semiring (least sum of weights).
+A model file gives a normaliser (a dummy space in front, spaces as the mark
+U+2581), a lexicon and byte fallback (the UTF-8 bytes of characters that no
+piece has).  They are not kept as states and arcs: the normaliser is a string
+replacement, the lexicon a dictionary in which substrings are looked up.  The
+lattice of places in a text that their composition would have is searched by
+these lookups; the encoding is its shortest path in the tropical semiring (least
+sum of weights).  ``load`` refuses models with a normalisation map, with removal
+of extra white space or with user-defined or unused pieces.
 
 A unigram model weighs a piece by its negative score.  A byte-pair model is no
 sum of scores, so there the pieces weigh nothing and a pair transducer weighs
