@@ -4,8 +4,8 @@ P(word | word before) = P(class | class before) * P(word | class).  Classes
 come from exchange clustering: sweep after sweep, words move to the class
 where the likelihood of the training text's class bigrams is highest.  The
 ``units`` - 1 most frequent words move one by one; all other words, unseen ones
-too, move in ``groups`` groups that share their last bytes, so every word has a
-class and the clustering's size is fixed.
+too, move in ``groups`` buckets by a hash of their last bytes, which unrelated
+endings share, so every word has a class and the clustering's size is fixed.
 
 Every count covers all training texts: word counts are added up in Spark, each
 sweep reads all class contexts again, and the emission counts of words outside
