@@ -12,6 +12,7 @@ from trendlens.llm import packing, prefix_tokens
 from trendlens.llm import piece_transducer as transducer
 from trendlens.llm import quality_classifier as classifier
 from trendlens.llm import quality_rules as quality
+from trendlens.llm import spelling_variants as spelling
 from trendlens.llm import sql
 from trendlens.llm import toxicity as tox
 from trendlens.plans.registry import register, table
@@ -80,3 +81,8 @@ def op9_fingerprint(spark, sf_dir):
 def op10_quality_classifier(spark, sf_dir):
     out = classifier.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@register("op11_spelling_variants", sql.SPELLING_VARIANTS)
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
