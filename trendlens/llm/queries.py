@@ -15,6 +15,7 @@ from trendlens.llm import quality_rules as quality
 from trendlens.llm import spelling_variants as spelling
 from trendlens.llm import sql
 from trendlens.llm import toxicity as tox
+from trendlens.llm import voronoi_search as search
 from trendlens.plans.registry import register, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -86,3 +87,8 @@ def op10_quality_classifier(spark, sf_dir):
 @register("op11_spelling_variants", sql.SPELLING_VARIANTS)
 def op11_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_vector_search", sql.VECTOR_SEARCH)
+def op13_vector_search(spark, sf_dir):
+    return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

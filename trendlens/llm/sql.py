@@ -175,3 +175,15 @@ step AS (SELECT word, word AS root, form AS up FROM f
   UNION ALL SELECT step.word, f.word, f.form FROM step JOIN f ON f.word = step.up)
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN step ON step.word = f.word AND up IS NULL
 """
+
+
+VECTOR_SEARCH = """
+WITH v AS (SELECT vec_id, row_number() OVER () AS r,
+    list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS y
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, q.r, v.vec_id, CAST(list_dot_product(q.y, v.y) AS BIGINT) AS score
+  FROM v q JOIN v ON q.r <> v.r WHERE q.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s)
+SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM k WHERE k <= 10
+"""
