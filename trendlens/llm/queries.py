@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trendlens.llm import archive, brown_model
+from trendlens.llm import archive, brown_model, burst_trie
 from trendlens.llm import fingerprint as fp
 from trendlens.llm import near_duplicates as near
 from trendlens.llm import packing, prefix_tokens
@@ -89,6 +89,11 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@register("op12_conversation_trie", sql.CONVERSATION_TRIE)
+def op12_conversation_trie(spark, sf_dir):
+    return burst_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @register("op13_vector_search", sql.VECTOR_SEARCH)
 def op13_vector_search(spark, sf_dir):
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -177,6 +177,32 @@ SELECT f.word, form, root, n, n_near, form_n FROM f JOIN step ON step.word = f.w
 """
 
 
+CONVERSATION_TRIE = f"""
+WITH {_CRC_TABLE},
+t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST) AS ts
+  FROM t GROUP BY c),
+hashed AS (SELECT c, ts, {_crc32('CAST(c AS VARCHAR)')} % 6 AS h FROM conv, crc),
+built AS (SELECT a.c, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) AS ts
+  FROM hashed a LEFT JOIN conv b ON b.c = a.c - a.c % 100),
+prefix AS (SELECT c, d, ts[1:d] AS p, d = len(ts) AS ends
+  FROM (SELECT c, ts, unnest(range(len(ts) + 1)) AS d FROM built)),
+node AS (SELECT d, p, min(c) AS c, count(*) AS n,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '') AS ids,
+    CASE WHEN d = 0 THEN 0 ELSE length(p[d].text) END AS size
+  FROM prefix GROUP BY d, p),
+child AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL),
+own AS (SELECT node.*, coalesce(child.n, 0) AS children FROM node LEFT JOIN child USING (d, p)),
+up AS (SELECT k AS d, p[1:k] AS p, count(*) FILTER (WHERE children = 0) AS leaves,
+    sum((n - 1) * size) AS saved
+  FROM (SELECT *, unnest(range(d + 1)) AS k FROM own) GROUP BY ALL)
+SELECT own.c AS conv_id, own.d AS depth, par.c AS parent_conv_id, own.n AS n_convs,
+  own.children AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(own.ids) AS ends_sha256
+FROM own JOIN up USING (d, p) LEFT JOIN node par ON par.d = own.d - 1 AND par.p = own.p[1:own.d - 1]
+"""
+
 VECTOR_SEARCH = """
 WITH v AS (SELECT vec_id, row_number() OVER () AS r,
     list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS y
