@@ -130,6 +130,41 @@ def test_poor_documents_do_not_open_their_sources_limits(spark):
         assert bad == {*range(480, 780, 3), *range(802, 840)}, kind
 
 
+def test_each_measure_rejects_by_its_sources_sketch(spark):
+    """A document that stands out in one measure only, in sources whose usual values
+    differ: the same value passes where it is usual."""
+    def text(key, length=4, marks=0, lines=0, again=0):
+        words = [f"{key}x{j}".ljust(length, "y") for j in range(100)]
+        words += words[:again] + ["#"] * marks
+        rows = [" ".join(words[j:j + 5]) for j in range(0, len(words), 5)]
+        return "\n".join(rows + [f"l{j // 2}" for j in range(2 * lines)])
+
+    def rows(first, source, usual, odd):
+        return [(first + k, text(first + k, **(odd if k == 7 else {
+            name: values[k % len(values)] for name, values in usual.items()})), "en", source)
+            for k in range(90)]
+
+    low = {"length": [8, 9], "marks": [0, 0, 1], "lines": [0, 0, 1], "again": [0, 3, 4]}
+    high = {"length": [19, 20], "marks": [10, 12], "lines": [6, 7], "again": [30, 33]}
+    for name in low:
+        at_high = high[name][1]
+        usual = {m: v for m, v in low.items() if m != name}
+        odd = {m: v[0] for m, v in usual.items()}
+        data = rows(0, "low", {**usual, name: low[name]}, {**odd, name: at_high})
+        data += rows(100, "high", {**usual, name: high[name]}, {**odd, name: at_high})
+        docs = spark.createDataFrame(
+            data, "doc_id long, text string, lang string, source string")
+        out = Q.quality_rules(docs).collect()
+        assert not any(r.base_failed for r in out)
+        assert {r.doc_id for r in out if not r.kept} == {7}, name
+
+
+def test_a_null_group_and_one_document(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(60)), None, None)],
+                                 "doc_id long, text string, lang string, source string")
+    assert [r.kept for r in Q.quality_rules(docs).collect()] == [True]
+
+
 def test_quality_limits_grow_smoothly_with_a_source(spark):
     def limits(n):
         rows = [("en", "large", 5.0 + k % 9 / 2) for k in range(2000)]

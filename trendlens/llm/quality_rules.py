@@ -2,12 +2,19 @@
 
 Every document gets a few measures of its text.  For each language and source
 a mergeable KLL quantile sketch of each measure is built with map-side partial
-aggregation, over the documents that pass the base rule; its quartiles give that
-group's own limits, which are joined back and decide.  The merged sketch of the
-language holds them: a source may tighten its language's limits, but widen their
-distance from the language's median by the factor ``widen`` only, and the median
-itself always lies inside.  So a source full of poor documents does not open its
-own limits.  Nothing but sketches (a few kB a group) is gathered.
+aggregation, over the documents that pass the base rule.  A measure's limit is a
+tail quantile of the sketch and beyond it some times the tail's distance from the
+median (``MEASURES``); there is no least spread or other constant that could
+decide instead.  The limits are joined back and decide.
+
+* A small source's quantiles are blended with those of its language's merged
+  sketch, by a weight that grows smoothly with its documents.
+* A source full of poor documents must not open its own limits: they are held by
+  the limits of the language's sources, each source having one voice however many
+  rows it has.  Two thirds of the sources lie within the hold; a source may exceed
+  its distance from the sources' median by the factor ``widen`` only.
+
+Nothing but sketches (a few kB a group) is gathered.
 
 Edge cases: a null text is an empty one; an empty text fails the base rule; a
 null language or source is a group of its own; repeated rows are measured and
@@ -27,25 +34,38 @@ from trendlens.llm.common import WHITE, lookup, text_of, words_of, written
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Measures that the sketches follow, and the least spread taken for each: a
-#: group in which a measure hardly varies does not reject on noise.
-MEASURES = {"word_length": 0.4, "symbol_rate": 0.02, "dup_line_rate": 0.08, "repeat_rate": 0.1}
+
+
+@dataclass(frozen=True)
+class Tail:
+    """``at``: rank of the tail quantile.  ``times``: how many times the tail's
+    distance from the median the limit lies beyond it.  ``both``: small values are
+    judged likewise."""
+
+    at: float
+    times: float
+    both: bool = False
+
+
+#: Poor documents of every source must be fewer than a measure's tail holds, or
+#: they set its limit.  Symbols and word lengths take a wide tail that lies inside
+#: the usual documents; repetition is rare, so its tail is thin.
+MEASURES = {"word_length": Tail(0.9, 5.0, both=True), "symbol_rate": Tail(0.9, 5.0),
+            "dup_line_rate": Tail(0.975, 1.0), "repeat_rate": Tail(0.975, 1.0)}
 
 
 @dataclass(frozen=True)
 class RuleConfig:
     """``sketch_k``: size of a sketch (rank error about 1.7 / k^0.9).
-    ``width``: a measure may differ from its group's median by so many
-    quartile ranges.  ``half_weight``: a group of so many measured documents
-    weighs as much as its language in the blend of their limits, a smaller one
-    less and a larger one more, at every size.  ``widen``: how many times as far
-    from its language's median a group's limits may lie as the language's."""
+    ``half_weight``: a source of so many documents weighs as much as its language
+    in the blend of their quantiles.  ``sources``: share of a language's sources
+    that lie within the hold.  ``widen``: how far past it a source may go."""
 
     sketch_k: int = 1024
-    width: float = 5.0
+    half_weight: int = 5
+    sources: float = 0.66
     widen: float = 1.25
-    half_weight: int = 3
-    least_spread: dict = field(default_factory=lambda: dict(MEASURES))
+    measures: dict = field(default_factory=lambda: dict(MEASURES))
 
 
 def _repeat_words(df: DataFrame) -> DataFrame:
@@ -102,29 +122,42 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def thresholds(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
     """One row per (lang, source) with documents that pass the base rule: lower
-    and upper limit of each measure."""
-    aggs = [F.kll_sketch_agg_double(m, F.lit(config.sketch_k)).alias(m) for m in MEASURES]
+    and upper limit of each measure; the lower one is null where none holds."""
+    aggs = [F.kll_sketch_agg_double(m, F.lit(config.sketch_k)).alias(m) for m in config.measures]
     groups = written(measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(
-        F.count("word_length").alias("__n"), *aggs), "quality-sketches")
+        F.count("*").alias("__n"), *aggs), "quality-sketches")
     merged = groups.groupBy("lang").agg(
-        *[F.kll_merge_agg_double(m).alias(f"__all_{m}") for m in MEASURES])
+        *[F.kll_merge_agg_double(m).alias(f"__all_{m}") for m in config.measures])
     joined = lookup(groups, written(merged, "quality-language-sketches"), ["lang"])
+    own = F.col("__n") / (F.col("__n") + config.half_weight)
+
+    def quantile(m: str, at: float) -> Column:
+        here, every = [F.kll_sketch_get_quantile_double(F.col(c), F.lit(at))
+                       for c in (m, f"__all_{m}")]
+        return own * here + (1 - own) * every
+
+    limits = [F.col("lang"), F.col("source")]
+    for m, tail in config.measures.items():
+        mid, high, low = [quantile(m, at) for at in (0.5, tail.at, 1 - tail.at)]
+        lower = low - tail.times * (mid - low) if tail.both else F.lit(None).cast("double")
+        limits += [mid.alias(f"__mid_{m}"), lower.alias(f"__low_{m}"),
+                   (high + tail.times * (high - mid)).alias(f"__high_{m}")]
+    limits = written(joined.select(*limits), "quality-source-limits")
+
+    def over_sources(name: str, at: float) -> Column:
+        return F.percentile_approx(name, at).alias(f"__s{name}")
+
+    holds = limits.groupBy("lang").agg(*[over_sources(f"__{e}_{m}", at) for m in config.measures
+                                         for e, at in (("mid", 0.5), ("low", 1 - config.sources),
+                                                       ("high", config.sources))])
+    held = lookup(limits, written(holds, "quality-holds"), ["lang"])
     out = [F.col("lang"), F.col("source")]
-    for m, least in config.least_spread.items():
-        def middle(sketch: Column, spread: float = least) -> tuple[Column, Column]:
-            low, mid, high = [F.kll_sketch_get_quantile_double(sketch, F.lit(p))
-                              for p in (0.25, 0.5, 0.75)]
-            return mid, config.width * F.greatest(high - low, F.lit(spread))
-
-        mid, far = middle(F.col(m))
-        every, most = middle(F.col(f"__all_{m}"))
-        own = F.col("__n") / (F.col("__n") + config.half_weight)
-        low = own * (mid - far) + (1 - own) * (every - most)
-        high = own * (mid + far) + (1 - own) * (every + most)
-        most = config.widen * most
-        out += [F.least(F.greatest(low, every - most), every).alias(f"__low_{m}"),
-                F.greatest(F.least(high, every + most), every).alias(f"__high_{m}")]
-    return joined.select(*out)
+    for m in config.measures:
+        mid, low, high = [F.col(f"__s__{e}_{m}") for e in ("mid", "low", "high")]
+        out += [F.when(low.isNotNull(), F.greatest(f"__low_{m}", mid - config.widen * (mid - low)))
+                .alias(f"__low_{m}"),
+                F.least(f"__high_{m}", mid + config.widen * (high - mid)).alias(f"__high_{m}")]
+    return held.select(*out)
 
 
 def judge(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
@@ -132,11 +165,12 @@ def judge(measured: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:
     the limits of the document's language and source."""
     limits = written(thresholds(measured, config), "quality-limits")
     ok = ~F.col("base_failed")
-    for m in MEASURES:
-        ok = ok & F.coalesce(F.col(m).between(F.col(f"__low_{m}"), F.col(f"__high_{m}")),
-                             F.lit(False))
+    for m in config.measures:
+        within = (F.col(m) <= F.col(f"__high_{m}")) & F.coalesce(
+            F.col(m) >= F.col(f"__low_{m}"), F.lit(True))
+        ok = ok & F.coalesce(within, F.lit(False))
     df = lookup(measured, limits, ["lang", "source"]).withColumn("kept", ok)
-    return df.drop(*[f"__{e}_{m}" for m in MEASURES for e in ("low", "high")])
+    return df.drop(*[f"__{e}_{m}" for m in config.measures for e in ("low", "high")])
 
 
 def quality_rules(docs: DataFrame, config: RuleConfig = RuleConfig()) -> DataFrame:

@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
+from trendlens.llm.quality_rules import RuleConfig
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _limits(measure: str, spread: float) -> str:
-    return f"""quantile_disc({measure}, 0.5) - 5.0 * greatest(quantile_disc({measure}, 0.75)
-    - quantile_disc({measure}, 0.25), {spread}) AS low_{measure},
-  quantile_disc({measure}, 0.5) + 5.0 * greatest(quantile_disc({measure}, 0.75)
-    - quantile_disc({measure}, 0.25), {spread}) AS high_{measure}"""
+def _quantile(m: str, at: float) -> str:
+    name = f"q_{m}_{round(at * 1000)}"
+    return f"own * o.{name} + (1 - own) * a.{name}"
+
+
+def _quantiles(m: str, at: float) -> str:
+    return f"quantile_disc({m}, {at}) AS q_{m}_{round(at * 1000)}"
 
 
-_SPREAD = {"word_length": 0.5, "symbol_rate": 0.02, "dup_line_rate": 0.1, "repeat_rate": 0.1}
-_ALL_LIMITS = ",\n  ".join(_limits(m, s) for m, s in _SPREAD.items())
+_TAILS = RuleConfig().measures
+_RANKS = {m: sorted({0.5, t.at, *([1 - t.at] if t.both else [])}) for m, t in _TAILS.items()}
+_ALL_QUANTILES = ", ".join(_quantiles(m, at) for m, ranks in _RANKS.items() for at in ranks)
+_OWN_LIMITS = ", ".join(
+    f"{_quantile(m, 0.5)} AS mid_{m}, {_quantile(m, t.at)} + {t.times} * (({_quantile(m, t.at)})"
+    f" - ({_quantile(m, 0.5)})) AS high_{m}, "
+    + (f"{_quantile(m, 1 - t.at)} - {t.times} * (({_quantile(m, 0.5)}) - ({_quantile(m, 1 - t.at)}))"
+       if t.both else "CAST(NULL AS DOUBLE)") + f" AS low_{m}" for m, t in _TAILS.items())
+_HOLDS = ", ".join(
+    f"quantile_disc(mid_{m}, 0.5) AS mid_{m}, quantile_disc(high_{m}, {RuleConfig().sources})"
+    f" AS high_{m}, quantile_disc(low_{m}, {1 - RuleConfig().sources}) AS low_{m}" for m in _TAILS)
 _WITHIN = " AND ".join(
-    f"coalesce(CASE WHEN o.n >= 30 THEN m.{m} BETWEEN o.low_{m} AND o.high_{m}"
-    f" ELSE m.{m} BETWEEN a.low_{m} AND a.high_{m} END, false)" for m in _SPREAD)
+    f"coalesce(m.{m} <= least(l.high_{m}, h.mid_{m} + {RuleConfig().widen} * (h.high_{m} - h.mid_{m}))"
+    f" AND coalesce(m.{m} >= greatest(l.low_{m}, h.mid_{m} - {RuleConfig().widen}"
+    f" * (h.mid_{m} - h.low_{m})), true), false)" for m in _TAILS)
 
 #: Quantiles are exact here; a sketch is exact while a group has few documents.
 QUALITY_RULES = rf"""
@@ -43,12 +57,16 @@ m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
         word_chars / nullif(n_words, 0) AS word_length,
         n_symbols / nullif(n_words, 0) AS symbol_rate, n_dup_lines / n_lines AS dup_line_rate,
         n_repeat_words / nullif(n_words, 0) AS repeat_rate FROM b),
-o AS (SELECT lang, source, count(word_length) AS n, {_ALL_LIMITS} FROM m GROUP BY lang, source),
-a AS (SELECT lang, {_ALL_LIMITS} FROM m GROUP BY lang)
+p AS (SELECT * FROM m WHERE NOT base_failed),
+o AS (SELECT lang, source, count(*) / (count(*) + {RuleConfig().half_weight}) AS own,
+  {_ALL_QUANTILES} FROM p GROUP BY lang, source),
+a AS (SELECT lang, {_ALL_QUANTILES} FROM p GROUP BY lang),
+s AS (SELECT o.lang, o.source, {_OWN_LIMITS} FROM o JOIN a ON o.lang IS NOT DISTINCT FROM a.lang),
+h AS (SELECT lang, {_HOLDS} FROM s GROUP BY lang)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND {_WITHIN} AS kept
-FROM m LEFT JOIN o ON m.lang IS NOT DISTINCT FROM o.lang AND m.source IS NOT DISTINCT FROM o.source
-  LEFT JOIN a ON m.lang IS NOT DISTINCT FROM a.lang
+FROM m LEFT JOIN s l ON m.lang IS NOT DISTINCT FROM l.lang AND m.source IS NOT DISTINCT FROM l.source
+  LEFT JOIN h ON m.lang IS NOT DISTINCT FROM h.lang
 """
 
 
