@@ -55,7 +55,37 @@ def test_edge_rows(edge, nothing):
     kept = N.keep_one(edge, 2)
     assert kept.columns == edge.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(
-        ["1", "2", "3", "4", "5", "6", "9", "None"])
+        ["1", "2", "3", "4", "5", "6", "9"])
+    assert N.keep_one(nothing).collect() == []
+
+
+def test_one_row_of_each_group_stays_whatever_the_ids(spark):
+    draw = random.Random(11)
+    rows = []
+    for family in range(15):
+        words = [f"f{family}w{draw.randrange(500)}" for _ in range(70)]
+        for _ in range(draw.randrange(1, 9)):
+            # Ids repeat over families, some are null, rows repeat whole.
+            rows += [(draw.choice([None, *range(20)]), " ".join(words))] * draw.choice([1, 1, 2])
+            if draw.random() < 0.7:
+                words[draw.randrange(70)] = f"new{draw.randrange(10**6)}"
+    rows += [(3, ""), (3, ""), (None, None), (3, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    group = brute([(n, text) for n, (_, text) in enumerate(rows)], 5)
+    best = {}
+    for n, g in group.items():
+        i = rows[n][0]
+        best[g] = min(best.get(g, (True, 0, 10**9)), (i is None, i or 0, n))
+    want = sorted((rows[n] for _, _, n in best.values()), key=str)
+    assert sorted((tuple(r) for r in N.keep_one(docs).collect()), key=str) == want
+
+
+def test_a_unique_text_survives_its_repeated_id(spark):
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(base)), (5, " ".join([*base[:59], "x"])), (5, "a text of its own " * 9),
+            (9, "twice " + " ".join(base[::-1])), (9, "twice " + " ".join(base[::-1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in N.keep_one(docs).collect()) == [1, 5, 9]
 
 
 def test_members_that_miss_the_hub_are_still_linked(spark):

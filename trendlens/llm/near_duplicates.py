@@ -396,7 +396,24 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = MIN_PERCENT,
 
 
 def keep_one(docs: DataFrame, width: int = 5) -> DataFrame:
-    """``docs`` without the documents that are not first of their group."""
-    gone = near_duplicates(docs, width).where(~F.col("kept")).select(
-        F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    """One row of each group of near-duplicate rows of ``docs``, with its columns:
+    that of the smallest doc_id (a null comes last), the first written one if the id
+    repeats.
+
+    Rows are linked and dropped by a number of their own, so a repeated id costs
+    no text and rows without id take part; rows without words are in no group
+    and all stay."""
+    rows = written(docs.select(F.monotonically_increasing_id().alias("__n"),
+                               F.struct("*").alias("__row")), "dedup-rows")
+    plain = rows.select(F.col("__n").alias("doc_id"), F.col("__row.text").alias("text"))
+    groups = near_duplicates(plain, width).select(F.col("doc_id").alias("n"), "component_id")
+    groups = written(groups, "dedup-groups")
+    several = groups.where(F.col("n") != F.col("component_id")).select("component_id").distinct()
+    members = groups.join(several, "component_id", "left_semi").join(
+        rows.select(F.col("__n").alias("n"), F.col("__row.doc_id").alias("id")), "n")
+    members = written(members.select("component_id", F.struct(
+        F.col("id").isNull().alias("none"), "id", "n").alias("at")), "dedup-members")
+    first = members.groupBy("component_id").agg(F.min("at").alias("first"))
+    gone = lookup(members, written(first, "dedup-firsts"), ["component_id"]).where(
+        F.col("at.n") != F.col("first.n")).select(F.col("at.n").alias("__gone"))
+    return rows.join(gone, F.col("__n") == F.col("__gone"), "left_anti").select("__row.*")
