@@ -79,7 +79,7 @@ def test_report_zero_division_and_accuracy(spark):
 def test_knn_self_similarity(spark):
     from trendlens.operators.neighbors import cosine_topk
     e = _emb(spark)
-    top1 = cosine_topk(e, e, "vec_id", "embedding", 1, 64, tile_rows=128).collect()
+    top1 = cosine_topk(e, e, "vec_id", "embedding", 1).collect()
     assert all(r["query_id"] == r["neighbor_id"] and abs(r["distance"]) < 1e-9 for r in top1)
 
 

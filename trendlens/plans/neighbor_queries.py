@@ -41,7 +41,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, neighbor_id, {R6('1 - distance')
 FROM k WHERE rank <= {K}
 """)
 def knn_by_row(spark, sf_dir):
-    nb = NB.knn_by_row(_emb(spark, sf_dir), "vec_id", "embedding", K, DIM)
+    nb = NB.knn_by_row(_emb(spark, sf_dir), "vec_id", "embedding", K)
     return nb.select("query_id", "rank", "neighbor_id", r6(F.col("similarity")).alias("similarity"))
 
 
@@ -51,7 +51,7 @@ SELECT k.query_id, CAST(k.rank AS INTEGER) AS rank, k.neighbor_id, d.lang, d.sou
 FROM k JOIN documents d ON d.doc_id = k.neighbor_id WHERE k.rank <= {K}
 """)
 def recommend_details(spark, sf_dir):
-    nb = NB.knn_by_row(_emb(spark, sf_dir), "vec_id", "embedding", K, DIM)
+    nb = NB.knn_by_row(_emb(spark, sf_dir), "vec_id", "embedding", K)
     docs = table(spark, sf_dir, "documents")
     j = attach_details(nb, docs, "neighbor_id", "doc_id", ["lang", "source", "n_chars"])
     return j.select("query_id", "rank", "neighbor_id", "lang", "source", "n_chars",
@@ -80,7 +80,7 @@ def knn_by_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"),
                                                      F.md5("text").alias("item"))
     pts = _emb(spark, sf_dir).join(docs, "vec_id")
-    nb = NB.knn_by_id(pts, "vec_id", "item", "embedding", K, DIM)
+    nb = NB.knn_by_id(pts, "vec_id", "item", "embedding", K)
     return nb.select("query_id", "query_item", "rank", "neighbor_id", "neighbor_item",
                      r6(F.col("similarity")).alias("similarity"))
 
