@@ -1,27 +1,61 @@
 """Duplicate analysis and keep-first deduplication (survey W1-W3, A1, A2, T1).
 
-Group sizes come from a partial (map-side combined) aggregation, never from a
-window over the group, so a key that holds a third of the table costs one
-row per map task, not one giant window partition.  Counts are joined back
-with a null-safe equi-join (AQE splits the hot side of that join).
+Groups are named by a 256-bit digest of their key columns, so whole texts as
+keys stay where they are: exchanges carry 32 bytes a row, and counts and minima
+are hash aggregations on fixed-width buffers, combined map-side.  A key that holds
+a third of the table costs one row per map task there.  Sizes are joined back
+with the hot groups dealt over several tasks; only groups of over a
+``HOT_SHARE``-th of the rows are dealt so, and of these there are at most
+``HOT_SHARE``, which is what is broadcast.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.operators.joins import null_safe_join
+from trendlens.operators.rank import rank_within
+
+#: A hot group has more than one in so many rows.
+HOT_SHARE = 2000
+_KEY = "__digest"
+
+
+def key_digest(df: DataFrame, keys: list[str]) -> Column:
+    """SHA-256 of key columns of ``df``: lengths keep them apart, and a null differs
+    from every value (nulls of one column are equal).  Nested values count as JSON."""
+    parts = []
+    for k in keys:
+        kind = df.schema[k].dataType.simpleString()
+        text = (F.to_json(F.struct(k)) if kind.startswith(("array", "struct", "map", "binary"))
+                else F.col(k).cast("string"))
+        sized = F.concat(F.length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.when(F.col(k).isNotNull(), sized).otherwise("-"))
+    return F.unhex(F.sha2(F.concat_ws(",", *parts), 256))
 
 
 def group_counts(df: DataFrame, keys: list[str], out: str = "dup_count") -> DataFrame:
-    """Rows per key (nulls form one group)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    """Rows per group (nulls form one): (digest, ``out``)."""
+    return df.select(key_digest(df, keys).alias(_KEY)).groupBy(_KEY).agg(F.count(F.lit(1)).alias(out))
 
 
 def group_count(df: DataFrame, keys: list[str], out: str = "dup_count") -> DataFrame:
     """The size of each row's group, as a column."""
-    return null_safe_join(df, group_counts(df, keys, out), keys)
+    counts = group_counts(df, keys, "__n").where(F.col("__n") > 1).checkpoint(eager=True)
+    rows = df.count()
+    pieces = F.ceil(F.col("__n") * HOT_SHARE / F.lit(max(rows, 1))).cast("int")
+    counts = counts.withColumn("__pieces", pieces)
+    hot = counts.where(F.col("__pieces") > 1).select(F.col(_KEY).alias("__hot"), "__pieces")
+    dealt = df.withColumn(_KEY, key_digest(df, keys)).join(
+        F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left")
+    # A row's place in its partition deals the rows of a hot group.
+    piece = F.pmod(F.monotonically_increasing_id(), F.coalesce("__pieces", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("__piece", piece).drop("__hot", "__pieces")
+    sizes = counts.select(F.col(_KEY).alias("__k"), "__n", F.explode(
+        F.sequence(F.lit(0), F.col("__pieces") - 1)).alias("__p"))
+    joined = dealt.join(sizes, (F.col(_KEY) == F.col("__k")) & (F.col("__piece") == F.col("__p")),
+                        "left")
+    return joined.select(*df.columns, F.coalesce("__n", F.lit(1)).cast("long").alias(out))
 
 
 def dup_mark(df: DataFrame, keys: list[str], out: str = "is_duplicate") -> DataFrame:
@@ -50,14 +84,20 @@ def dup_summary(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def dedup_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Keep the first row of each key group under an explicit order.
+    """Keep the first row of each key group under an explicit order; ties go by
+    a hash of all columns, so the survivor does not depend on partitioning.
 
-    Implemented as ``min`` over a struct led by the order columns (then every
-    other column, so ties resolve deterministically).  ``min`` is combined
-    map-side, so each task ships at most one row per key.
+    Rows get a number and are written once; only digest, order columns, hash and
+    number take part in the ranking, and the minimum of (rank, number), packed
+    into one decimal, is a hash aggregation.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest]).alias("__first")
-    agg = df.groupBy(*keys).agg(F.min(packed).alias("__first"))
-    return agg.select(*[F.col(f"__first.{c}").alias(c) if c not in keys else F.col(c)
-                        for c in df.columns])
+    rows = df.withColumn("__w3_row", F.monotonically_increasing_id()).checkpoint(eager=True)
+    narrow = rows.select(key_digest(df, keys).alias(_KEY), *order,
+                         F.xxhash64(*sorted(df.columns)).alias("__w3_tie"), "__w3_row")
+    ranked = rank_within(narrow, [], [*order, "__w3_tie", "__w3_row"], out="__w3_rank")
+    two_63 = F.lit(str(1 << 63)).cast("decimal(19,0)")
+    rank = F.col("__w3_rank").cast("decimal(18,0)")
+    packed = ((rank * two_63).cast("decimal(38,0)") + F.col("__w3_row")).cast("decimal(38,0)")
+    first = ranked.groupBy(_KEY).agg(F.min(packed).alias("__first"))
+    kept = first.select((F.col("__first") % two_63).cast("long").alias("__kept"))
+    return rows.join(kept, F.col("__w3_row") == F.col("__kept"), "left_semi").select(*df.columns)

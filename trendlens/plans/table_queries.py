@@ -330,8 +330,10 @@ def dedup_docs(spark, sf_dir):
     (channel, title words) key shape, over whole texts."""
     d = table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", "source", T.join_words(T.clean_words("text")).alias("words_str"))
-    kept = DD.dedup_first(d, ["source", "words_str"], ["doc_id"])
-    return kept.select("doc_id", "source", F.length("words_str").cast("long").alias("words_length"))
+    # Words are measured and digested where they are; neither is exchanged.
+    narrow = d.select("doc_id", "source", F.length("words_str").cast("long").alias("words_length"),
+                      DD.key_digest(d, ["source", "words_str"]).alias("key"))
+    return DD.dedup_first(narrow, ["key"], ["doc_id"]).drop("key")
 
 
 # ---- requested rows and ids -----------------------------------------------------

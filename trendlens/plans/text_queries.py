@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trendlens.functions import patterns as P
 from trendlens.functions import text as T
 from trendlens.functions.stopwords import stop_words
-from trendlens.operators.dedup import dedup_first
+from trendlens.operators.dedup import dedup_first, key_digest
 from trendlens.plans import sqlfrag as S
 from trendlens.plans.registry import register, table
 
@@ -19,13 +19,14 @@ def lang_profile(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", "doc_id").select("doc_id", "lang", "text")
     words = docs.select("doc_id", "lang", T.clean_text("text").alias("text_cleaned"),
                         T.clean_words("text").alias("words"))
-    # Only the key is wide; everything carried through the dedup shuffle
-    # besides it is a few numbers per document.
+    # The wide key becomes a digest here; a few numbers per document go on.
     feats = words.select(
         "doc_id", "lang", F.length("text_cleaned").alias("text_length"),
         F.size("words").cast("long").alias("n_words"),
         T.join_words("words").alias("words_str"))
-    kept = dedup_first(feats, keys=["lang", "words_str"], order=["doc_id"]).drop("words_str")
+    feats = feats.select("doc_id", "lang", "text_length", "n_words",
+                         key_digest(feats, ["lang", "words_str"]).alias("key"))
+    kept = dedup_first(feats, keys=["key"], order=["doc_id"])
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     j = kept.join(labels, on="doc_id", how="left")
     return j.groupBy("lang").agg(
