@@ -4,9 +4,7 @@ Groups are named by a 256-bit digest of their key columns, so whole texts as
 keys stay where they are: exchanges carry 32 bytes a row, and counts and minima
 are hash aggregations on fixed-width buffers, combined map-side.  A key that holds
 a third of the table costs one row per map task there.  Sizes are joined back
-with the hot groups dealt over several tasks; only groups of over a
-``HOT_SHARE``-th of the rows are dealt so, and of these there are at most
-``HOT_SHARE``, which is what is broadcast.
+with the hot groups dealt over several tasks (``joins.dealt_join``).
 """
 
 from __future__ import annotations
@@ -14,10 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trendlens.operators.joins import dealt_join
 from trendlens.operators.rank import rank_within
 
-#: A hot group has more than one in so many rows.
-HOT_SHARE = 2000
 _KEY = "__digest"
 
 
@@ -42,19 +39,7 @@ def group_counts(df: DataFrame, keys: list[str], out: str = "dup_count") -> Data
 def group_count(df: DataFrame, keys: list[str], out: str = "dup_count") -> DataFrame:
     """The size of each row's group, as a column."""
     counts = group_counts(df, keys, "__n").where(F.col("__n") > 1).checkpoint(eager=True)
-    rows = df.count()
-    pieces = F.ceil(F.col("__n") * HOT_SHARE / F.lit(max(rows, 1))).cast("int")
-    counts = counts.withColumn("__pieces", pieces)
-    hot = counts.where(F.col("__pieces") > 1).select(F.col(_KEY).alias("__hot"), "__pieces")
-    dealt = df.withColumn(_KEY, key_digest(df, keys)).join(
-        F.broadcast(hot), F.col(_KEY) == F.col("__hot"), "left")
-    # A row's place in its partition deals the rows of a hot group.
-    piece = F.pmod(F.monotonically_increasing_id(), F.coalesce("__pieces", F.lit(1))).cast("int")
-    dealt = dealt.withColumn("__piece", piece).drop("__hot", "__pieces")
-    sizes = counts.select(F.col(_KEY).alias("__k"), "__n", F.explode(
-        F.sequence(F.lit(0), F.col("__pieces") - 1)).alias("__p"))
-    joined = dealt.join(sizes, (F.col(_KEY) == F.col("__k")) & (F.col("__piece") == F.col("__p")),
-                        "left")
+    joined = dealt_join(df.withColumn(_KEY, key_digest(df, keys)), counts, _KEY)
     return joined.select(*df.columns, F.coalesce("__n", F.lit(1)).cast("long").alias(out))
 
 

@@ -1,9 +1,8 @@
 """Exploratory summaries (survey E1-E7), all as single-pass aggregations.
 
-Quantiles: ``exact=True`` uses ``percentile`` (linear interpolation, like
-pandas), whose buffer grows with the number of *distinct* values — fine for
-low-cardinality columns; the default is ``percentile_approx`` whose memory is
-bounded by ``accuracy`` whatever the table size.
+Quantiles: ``exact=True`` gives linearly interpolated ones, like pandas, by repeated
+narrowing (``quantiles.py``) or distributed ranks; the default is
+``percentile_approx``.  Neither holds a group's values in one buffer.
 """
 
 from __future__ import annotations
@@ -11,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-QUARTILES = (0.25, 0.5, 0.75)
-
+from trendlens.operators.joins import null_safe_join
+from trendlens.operators.quantiles import group_quantiles
 
-def _quantiles(c, probs, exact: bool, accuracy: int):
-    x = F.col(c).cast("double")
-    if exact:
-        return F.percentile(x, F.array(*[F.lit(p) for p in probs]))
-    return F.percentile_approx(x, list(probs), accuracy)
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def summary_stats(df: DataFrame, cols: list[str], exact: bool = False,
@@ -29,9 +24,16 @@ def summary_stats(df: DataFrame, cols: list[str], exact: bool = False,
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max"),
-                 _quantiles(c, QUARTILES, exact, accuracy).alias(f"{c}__q")]
+                 F.max(x).alias(f"{c}__max")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, list(QUARTILES), accuracy).alias(f"{c}__q"))
     wide = df.agg(*aggs)
+    if exact:
+        # Three numbers a column.
+        at = {(r["column_name"], r["prob"]): r["value"]
+              for r in group_quantiles(df, [], cols, list(QUARTILES)).collect()}
+        wide = wide.select("*", *[F.array(*[F.lit(at.get((c, p))).cast("double")
+                                            for p in QUARTILES]).alias(f"{c}__q") for c in cols])
     rows = [F.struct(F.lit(c).alias("column_name"),
                      F.col(f"{c}__count").cast("long").alias("count"),
                      F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
@@ -64,9 +66,15 @@ def category_perf(df: DataFrame, keys: list[str], measures: list[str],
     for m in measures:
         x = F.col(m).cast("double")
         aggs.append(F.avg(x).alias(f"avg_{m}"))
-        med = F.median(x) if exact_median else F.percentile_approx(x, 0.5, accuracy)
-        aggs.append(med.cast("double").alias(f"median_{m}"))
-    return df.groupBy(*keys).agg(*aggs)
+        if not exact_median:
+            aggs.append(F.percentile_approx(x, 0.5, accuracy).cast("double").alias(f"median_{m}"))
+    out = df.groupBy(*keys).agg(*aggs)
+    if not exact_median:
+        return out
+    medians = group_quantiles(df, keys, measures, [0.5]).groupBy(*keys).agg(*[
+        F.max(F.when(F.col("column_name") == m, F.col("value"))).alias(f"median_{m}")
+        for m in measures])
+    return null_safe_join(out, medians, keys, "left")
 
 
 def value_range(df: DataFrame, col: str) -> tuple[float, float]:
@@ -114,7 +122,8 @@ def iqr_fences(df: DataFrame, col: str, k: float = 1.5, exact: bool = False,
     if exact:
         q = exact_quantiles(df, col, (0.25, 0.75))
     else:
-        q = df.agg(_quantiles(col, (0.25, 0.75), exact, accuracy).alias("q")).first()["q"]
+        q = df.agg(F.percentile_approx(F.col(col).cast("double"), [0.25, 0.75], accuracy)
+                   .alias("q")).first()["q"]
     iqr = q[1] - q[0]
     return q[0] - k * iqr, q[1] + k * iqr
 

@@ -5,20 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it provably holds at most this many
-# rows; above it the join stays a shuffle join (AQE may still pick a
-# broadcast from run-time sizes).
+# A lookup side is broadcast only when it provably holds at most so many rows and
+# bytes (of its values as text); above either the join stays a shuffle join (AQE
+# may still pick a broadcast from run-time sizes).
 DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after proving ``df`` has <= ``max_rows`` rows.
-
-    The proof is a ``limit(max_rows + 1).count()`` job, which stops reading
-    as soon as the bound is exceeded.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+DEFAULT_BROADCAST_BYTES = 64 << 20
+#: In a dealt join a key is hot if it has more than one in so many rows.
+HOT_SHARE = 2000
+
+
+def small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+          max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.  One job
+    over ``limit(max_rows + 1)``, which stops reading beyond the bound on rows."""
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    seen = df.limit(max_rows + 1).select(size.alias("b")).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b")).first()
+    return seen["n"] <= max_rows and seen["b"] <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after proving that ``df`` is small."""
+    return F.broadcast(df) if small(df, max_rows, max_bytes) else df
+
+
+def dealt_join(df: DataFrame, sizes: DataFrame, key: str) -> DataFrame:
+    """Left join to ``sizes`` (one row per ``key``, with ``__n``: the rows of ``df``
+    that have it).  The rows of a hot key are dealt over several tasks, each of
+    which gets the key's row; there are at most ``HOT_SHARE`` hot keys, and only
+    their names and shares are broadcast.  ``__n`` stays, ``key`` is kept once."""
+    total = sizes.agg(F.sum("__n")).first()[0] or 1
+    pieces = F.ceil(F.col("__n") * HOT_SHARE / F.lit(total)).cast("int")
+    sizes = sizes.withColumn("__pieces", pieces)
+    hot = sizes.where(F.col("__pieces") > 1).select(F.col(key).alias("__hot"), "__pieces")
+    dealt = df.join(F.broadcast(hot), F.col(key) == F.col("__hot"), "left")
+    # A row's place in its partition deals the rows of a hot key.
+    piece = F.pmod(F.monotonically_increasing_id(), F.coalesce("__pieces", F.lit(1))).cast("int")
+    dealt = dealt.withColumn("__piece", piece).drop("__hot", "__pieces")
+    copies = sizes.withColumn("__p", F.explode(F.sequence(F.lit(0), F.col("__pieces") - 1)))
+    copies = copies.withColumnRenamed(key, "__k").drop("__pieces")
+    same = (F.col(key) == F.col("__k")) & (F.col("__piece") == F.col("__p"))
+    return dealt.join(copies, same, "left").drop("__k", "__p", "__piece")
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],

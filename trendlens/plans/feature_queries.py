@@ -160,7 +160,7 @@ def regression_metrics(spark, sf_dir):
     return m.select(*[r6(F.col(c)).alias(c) for c in m.columns])
 
 
-SUMMARY_COLS = ["l_quantity", "l_discount", "l_tax"]
+SUMMARY_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @register("summary_stats", "\nUNION ALL\n".join(
