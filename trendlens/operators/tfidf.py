@@ -18,12 +18,15 @@ ascending), indexed alphabetically.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlens.functions.text import tokens as token_filter
 
@@ -97,12 +100,21 @@ def tfidf_vectors(df: DataFrame, words_col: str, vocab: TfidfVocab, out: str) ->
 
 def sparse_parts(df: DataFrame, col: str) -> DataFrame:
     """A sparse vector column as ``<col>_idx`` and ``<col>_val`` arrays of its
-    non-zero entries; nothing of the vocabulary's width is made."""
-    shape = f"struct<{col}: struct<indices: array<int>, values: array<double>>>"
-    parts = df.withColumn("__p", F.from_json(F.to_json(F.struct(col)), shape)[col])
-    return parts.select(*[c for c in df.columns if c != col],
-                        F.col("__p.indices").alias(f"{col}_idx"),
-                        F.col("__p.values").alias(f"{col}_val"))
+    non-zero entries.  A vector is stored as a struct that holds both, so whole
+    Arrow columns are handed on and nothing of the vocabulary's width is made."""
+    others = [c for c in df.columns if c != col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vector = batch.column(len(others))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], vector.field("indices"), vector.field("values")],
+                names=[*others, f"{col}_idx", f"{col}_val"])
+
+    schema = T.StructType([df.schema[c] for c in others] + [
+        T.StructField(f"{col}_idx", T.ArrayType(T.IntegerType())),
+        T.StructField(f"{col}_val", T.ArrayType(T.DoubleType()))])
+    return df.select(*others, col).mapInArrow(run, schema)
 
 
 def fit_vocabs(df: DataFrame, id_col: str, fields: dict, max_features: int = MAX_FEATURES):
