@@ -118,7 +118,7 @@ def test_tfidf_vector_matches_long_form(spark):
             assert abs(x - long.get((r["doc_id"], i), 0.0)) < 1e-9
 
 
-def test_silhouette_same_for_whole_and_split_clusters(spark):
+def test_silhouette_same_for_blocks_of_any_size(spark):
     from trendlens.operators.cluster import silhouette
     e = _emb(spark)
     whole = silhouette(e, "vec_id", "embedding", "label", 64).first()[0]
