@@ -152,3 +152,14 @@ def test_ensure_parallelism(spark):
     target = spark.sparkContext.defaultParallelism
     assert ensure_parallelism(one, "id").rdd.getNumPartitions() == target
     assert ensure_parallelism(many, "id").rdd.getNumPartitions() == 16
+
+
+def test_splits_of_repeated_and_null_ids(spark):
+    from trendlens.operators.split import random_split, stratified_split
+    rows = [(k % 30 if k % 11 else None, "ab"[k % 2], float(k)) for k in range(100)]
+    df = spark.createDataFrame(rows, "id long, label string, x double")
+    for split in (random_split(df, "id"), stratified_split(df, "id", "label")):
+        got = split.collect()
+        assert sorted(r.x for r in got) == sorted(float(k) for k in range(100))
+        assert sum(r.split == "test" for r in got) == 20
+        assert split.columns == ["id", "label", "x", "split"]

@@ -22,12 +22,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer,
+                                SQLTransformer)
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trendlens.functions.patterns import MIN_TOKEN_LEN
 from trendlens.functions.text import tokens as token_filter
 
 MAX_FEATURES = 10000
@@ -86,16 +89,36 @@ def tfidf_long(df: DataFrame, id_col: str, words_col: str, vocab: TfidfVocab,
                     (F.col("raw") / norm).alias("weight"))
 
 
+def vector_stages(words_col: str, vocab: TfidfVocab, out: str) -> list:
+    """The fitted vectoriser as MLlib stages from a word list to a sparse vector:
+    a ``PipelineModel`` of them (and whatever follows) saves and loads as one."""
+    tok, tf, weighted = f"__tok_{out}", f"__tf_{out}", f"__w_{out}"
+    return [
+        SQLTransformer(statement=f"SELECT *, filter(`{words_col}`, w -> length(w) >= "
+                                 f"{MIN_TOKEN_LEN}) AS `{tok}` FROM __THIS__"),
+        CountVectorizerModel.from_vocabulary(vocab.terms(), inputCol=tok, outputCol=tf),
+        ElementwiseProduct(scalingVec=DenseVector(vocab.idf()), inputCol=tf, outputCol=weighted),
+        Normalizer(p=2.0, inputCol=weighted, outputCol=out),
+        SQLTransformer(statement=f"SELECT * EXCEPT (`{tok}`, `{tf}`, `{weighted}`) FROM __THIS__")]
+
+
 def tfidf_vectors(df: DataFrame, words_col: str, vocab: TfidfVocab, out: str) -> DataFrame:
     """Sparse TF-IDF vector column ``out`` (index = alphabetical vocabulary)."""
-    tok = f"__tok_{out}"
-    cv = CountVectorizerModel.from_vocabulary(vocab.terms(), inputCol=tok,
-                                              outputCol=f"__tf_{out}")
-    ep = ElementwiseProduct(scalingVec=DenseVector(vocab.idf()), inputCol=f"__tf_{out}",
-                            outputCol=f"__w_{out}")
-    nm = Normalizer(p=2.0, inputCol=f"__w_{out}", outputCol=out)
-    x = df.withColumn(tok, token_filter(words_col))
-    return nm.transform(ep.transform(cv.transform(x))).drop(tok, f"__tf_{out}", f"__w_{out}")
+    return PipelineModel(stages=vector_stages(words_col, vocab, out)).transform(df)
+
+
+def save_vocab(vocab: TfidfVocab, path: str) -> str:
+    """The vocabulary with its idf weights and the number of documents."""
+    vocab.table.withColumn("n_docs", F.lit(vocab.n_docs).cast("long")).write.parquet(path)
+    return path
+
+
+def load_vocab(spark: SparkSession, path: str) -> TfidfVocab:
+    """What ``save_vocab`` wrote, ready for ``tfidf_vectors`` and ``tfidf_long``.
+    A vocabulary without terms has no documents to speak of."""
+    table = spark.read.parquet(path)
+    first = table.select("n_docs").first()
+    return TfidfVocab(table.drop("n_docs"), first["n_docs"] if first else 0)
 
 
 def sparse_parts(df: DataFrame, col: str) -> DataFrame:

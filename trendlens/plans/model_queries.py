@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from trendlens.operators import metrics as M
 from trendlens.operators import models as ML
 from trendlens.operators import split as SP
-from trendlens.plans.registry import register, table
-from trendlens.plans.table_queries import r6
+from trendlens.plans.feature_queries import SCALE_COLS, _doc_words
+from trendlens.plans.registry import ORACLE, register, table
+from trendlens.plans.table_queries import R6, r6
 from trendlens.session import scratch_path
 
 PCA_K = 7
@@ -178,3 +179,169 @@ def gbt_roundtrip(spark, sf_dir):
     """The trees saved, loaded back and applied."""
     return _gbt(spark, sf_dir, "unit_ratio",
                 ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], saved=True)
+
+
+# ---- what SQL can state of fitted models ------------------------------------------
+
+@register("scaler_roundtrip", ORACLE["standardize"])
+def scaler_roundtrip(spark, sf_dir):
+    """The scaler saved as a table and as a pipeline stage, loaded and applied."""
+    from trendlens.operators.encode import ScalerModel, fit_scaler
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *SCALE_COLS)
+    fitted = fit_scaler(li, SCALE_COLS)
+    model = ScalerModel.load(spark, fitted.save(spark, scratch_path(spark, "scaler")))
+    saved = ML.save_model(model.stage("__z"), scratch_path(spark, "scaler-stage"))
+    z = ML.load_pipeline(saved).transform(li)
+    return z.select("l_orderkey", "l_linenumber",
+                    *[r6(F.col(c + "__z")).alias(f"z_{c[2:]}") for c in SCALE_COLS])
+
+
+@register("codes_roundtrip", ORACLE["label_encode"])
+def codes_roundtrip(spark, sf_dir):
+    """The label codes saved, loaded and applied."""
+    from trendlens.operators import encode as EN
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    path = EN.save_codes(EN.fit_label_encoder(p, "p_brand"), scratch_path(spark, "codes"))
+    return EN.label_encode(p, "p_brand", codes=EN.load_codes(spark, path))
+
+
+@register("vectorizer_roundtrip", ORACLE["tfidf_weights"])
+def vectorizer_roundtrip(spark, sf_dir):
+    """The vocabulary saved as a table, the vectoriser made of what was loaded
+    saved as a pipeline, loaded and applied; its vectors by term."""
+    from trendlens.operators.tfidf import (fit_vocab, load_vocab, save_vocab, sparse_parts,
+                                          vector_stages)
+    words = _doc_words(spark, sf_dir)
+    path = save_vocab(fit_vocab(words, "doc_id", "words"), scratch_path(spark, "vocab"))
+    vocab = load_vocab(spark, path)
+    stages = PipelineModel(stages=vector_stages("words", vocab, "v"))
+    model = ML.load_pipeline(ML.save_model(stages, scratch_path(spark, "vectorizer")))
+    parts = sparse_parts(model.transform(words).select("doc_id", "v"), "v")
+    cells = parts.select("doc_id", F.inline(F.arrays_zip("v_idx", "v_val")))
+    # At most max_features terms.
+    terms = F.broadcast(vocab.table.select("term", F.col("term_index").cast("int").alias("v_idx")))
+    return cells.join(terms, "v_idx").select("doc_id", "term", r6(F.col("v_val")).alias("weight"))
+
+
+@register("saved_pipeline", """
+SELECT lang, count(*) AS n_rows, count(*) AS n_same FROM documents GROUP BY lang
+""")
+def saved_pipeline(spark, sf_dir):
+    """Scaler, vectoriser, assembler and classifier as one pipeline
+    from words and numbers to a prediction, saved and loaded; every document is
+    predicted by both."""
+    from pyspark.ml.feature import VectorAssembler
+    from trendlens.operators.encode import fit_scaler
+    from trendlens.operators.tfidf import fit_vocab, vector_stages
+    d = table(spark, sf_dir, "documents", "doc_id").select(
+        "doc_id", "lang", F.log1p("n_chars").alias("log_chars"))
+    d = d.join(_doc_words(spark, sf_dir), "doc_id").checkpoint(eager=True)
+    before = [fit_scaler(d, ["log_chars"]).stage("_z"),
+              *vector_stages("words", fit_vocab(d, "doc_id", "words", 500), "text"),
+              VectorAssembler(inputCols=["log_chars_z", "text"], outputCol="features")]
+    shown = PipelineModel(stages=before).transform(d)
+    fitted = ML.logistic_regression("features", "lang", d.count(), max_iter=20).fit(shown)
+    model = PipelineModel(stages=[*before, *fitted.stages])
+    loaded = ML.load_pipeline(ML.save_model(model, scratch_path(spark, "whole-pipeline")))
+    first = model.transform(d).select("doc_id", "lang", F.col("__pred_idx").alias("a"))
+    again = loaded.transform(d).select("doc_id", F.col("__pred_idx").alias("b"))
+    return first.join(again, "doc_id").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("a") == F.col("b")).alias("n_same"))
+
+
+@register("logreg_shares", f"""
+SELECT lang, count(*) AS n_rows, {R6('count(*) / (SELECT count(*) FROM documents)')} AS share,
+       true AS mean_probability_is_share
+FROM documents GROUP BY lang
+""")
+def logreg_shares(spark, sf_dir):
+    """M6: where the objective is least in the unpenalised intercepts, a class's mean
+    probability over the training rows is its share of them."""
+    from pyspark.ml.functions import vector_to_array
+    df = _doc_features(spark, sf_dir)
+    feats = ML.assemble(df, ["log_chars", "text_tfidf"]).select("lang", "features").checkpoint(
+        eager=True)
+    n = feats.count()
+    model = ML.logistic_regression("features", "lang", n).fit(feats)
+    p = model.transform(feats).select("lang", vector_to_array("probability").alias("p"))
+    labels = model.stages[0].labels
+    means = p.agg(*[F.avg(F.col("p")[k]).alias(c) for k, c in enumerate(labels)])
+    means = means.select(F.inline(F.array(*[F.struct(F.lit(c).alias("__l"), F.col(f"`{c}`").alias("m"))
+                                            for c in labels])))
+    shares = feats.groupBy("lang").agg(F.count(F.lit(1)).alias("n_rows"))
+    share = F.col("n_rows") / F.lit(n)
+    return shares.join(means, F.col("lang") == F.col("__l")).select(
+        "lang", "n_rows", r6(share).alias("share"),
+        (F.abs(F.col("m") - share) < 1e-3).alias("mean_probability_is_share"))
+
+
+@register("pca_variance", f"""
+WITH x AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x,
+                  generate_subscripts(embedding, 1) AS d FROM embeddings),
+v AS (SELECT d, var_samp(x) AS v FROM x GROUP BY d)
+SELECT count(*) AS n_components, {R6('sum(v)')} AS total_variance,
+  CAST(0 AS DOUBLE) AS greatest_mean FROM v
+""")
+def pca_variance(spark, sf_dir):
+    """All components together have the variance of the data, and mean 0."""
+    emb = table(spark, sf_dir, "embeddings")
+    width = emb.agg(F.max(F.size("embedding"))).first()[0]
+    out = ML.fit_pca(emb, "embedding", width).transform(emb, "embedding", "pca")
+    by = out.select(F.posexplode("pca").alias("d", "x")).groupBy("d").agg(
+        F.var_samp("x").alias("v"), F.avg("x").alias("m"))
+    return by.agg(F.count(F.lit(1)).alias("n_components"), r6(F.sum("v")).alias("total_variance"),
+                  F.abs(r6(F.max(F.abs("m")))).alias("greatest_mean"))
+
+
+_SPLIT_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+@register("gbt_one_split", f"""
+WITH f AS (SELECT CAST(unnest([{', '.join(_SPLIT_FEATURES)}]) AS DOUBLE) AS x,
+                  unnest(range({len(_SPLIT_FEATURES)})) AS feature,
+                  CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem),
+g AS (SELECT feature, x, count(*) AS n, sum(y) AS s FROM f GROUP BY ALL),
+c AS (SELECT feature, x, lead(x) OVER w AS above, sum(n) OVER w AS n, sum(s) OVER w AS s,
+             sum(n) OVER (PARTITION BY feature) AS n_all, sum(s) OVER (PARTITION BY feature) AS s_all
+      FROM g WINDOW w AS (PARTITION BY feature ORDER BY x)),
+b AS (SELECT *, s * s / n + (s_all - s) * (s_all - s) / (n_all - n) AS gain FROM c
+      WHERE above IS NOT NULL ORDER BY gain DESC LIMIT 1)
+SELECT CAST(feature AS INTEGER) AS feature, {R6('(x + above) / 2')} AS threshold,
+       {R6('s / n')} AS mean_below, {R6('(s_all - s) / (n_all - n)')} AS mean_above
+FROM b
+""")
+def gbt_one_split(spark, sf_dir):
+    """M8, M9: the boosted regressor with one tree of one split; the split and the
+    means on both sides are the best there are."""
+    li = table(spark, sf_dir, "lineitem").select(
+        *_SPLIT_FEATURES, F.col("l_extendedprice").cast("double").alias("y"))
+    feats = ML.assemble(li, _SPLIT_FEATURES)
+    model = ML.gbt_regressor("features", "y", n_estimators=1, max_depth=1).fit(feats)
+    root = model.trees[0]._call_java("rootNode")
+    split = root.split()
+    row = (split.featureIndex(), split.threshold(), root.leftChild().prediction(),
+           root.rightChild().prediction())
+    out = spark.createDataFrame([row], "feature int, threshold double, mean_below double, "
+                                       "mean_above double")
+    return out.select("feature", *[r6(F.col(c)).alias(c) for c in out.columns[1:]])
+
+
+@register("gbt_saved", """
+SELECT CAST(ceil(count(*) * 0.2) AS BIGINT) AS n_rows, CAST(ceil(count(*) * 0.2) AS BIGINT) AS n_same
+FROM lineitem
+""")
+def gbt_saved(spark, sf_dir):
+    """Boosted trees of a small fit, saved and loaded; the held-out rows are
+    predicted by both."""
+    df = _lineitem_features(spark, sf_dir).withColumn(
+        "row_key", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    split = SP.random_split(df, "row_key", 0.2, 42)
+    feats = ML.assemble(split, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]).select(
+        "row_key", "split", "features", "unit_ratio").checkpoint(eager=True)
+    model = ML.gbt_regressor("features", "unit_ratio", n_estimators=3, max_depth=3).fit(
+        feats.where("split = 'train'"))
+    loaded = ML.load_pipeline(ML.save_model(model, scratch_path(spark, "gbt-small")))
+    both = loaded.transform(model.transform(feats.where("split = 'test'"))
+                            .withColumnRenamed("prediction", "unsaved"))
+    same = F.col("prediction") == F.col("unsaved")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(same).alias("n_same"))
