@@ -32,7 +32,7 @@ def pca(spark, sf_dir):
     return out.select("vec_id", *[r6(F.col("pca")[i]).alias(f"pc_{i + 1}") for i in range(PCA_K)])
 
 
-def _doc_features(spark, sf_dir):
+def _doc_features(spark, sf_dir, max_features: int = 10000):
     """Documents with stop-word-free words, TF-IDF vector and numerics."""
     from trendlens.functions import text as T
     from trendlens.functions.stopwords import stop_words
@@ -44,7 +44,7 @@ def _doc_features(spark, sf_dir):
                        "n_words": F.size("words").cast("double"),
                        "distinct_ratio": F.size(F.array_distinct("words"))
                        / F.greatest(F.size("words"), F.lit(1))}).checkpoint(eager=True)
-    voc = fit_vocab(w, "doc_id", "words")
+    voc = fit_vocab(w, "doc_id", "words", max_features)
     return tfidf_vectors(w, "words", voc, "text_tfidf")
 
 
@@ -258,11 +258,11 @@ def logreg_shares(spark, sf_dir):
     """M6: where the objective is least in the unpenalised intercepts, a class's mean
     probability over the training rows is its share of them."""
     from pyspark.ml.functions import vector_to_array
-    df = _doc_features(spark, sf_dir)
+    df = _doc_features(spark, sf_dir, 300)
     feats = ML.assemble(df, ["log_chars", "text_tfidf"]).select("lang", "features").checkpoint(
         eager=True)
     n = feats.count()
-    model = ML.logistic_regression("features", "lang", n).fit(feats)
+    model = ML.logistic_regression("features", "lang", n, C=1.0).fit(feats)
     p = model.transform(feats).select("lang", vector_to_array("probability").alias("p"))
     labels = model.stages[0].labels
     means = p.agg(*[F.avg(F.col("p")[k]).alias(c) for k, c in enumerate(labels)])
