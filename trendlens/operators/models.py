@@ -1,15 +1,15 @@
-"""Model training, batch prediction and persistence on MLlib (survey M5-M11, S9).
+"""Model training, batch prediction and persistence (survey M5-M11, S9).
 
-The reference's solvers (saga, Keras MLP, LightGBM) are replaced by their
-MLlib counterparts with the same objective where one exists:
+MLlib has the regression's objective but neither leaf-wise trees nor a network with
+ReLU, dropout and sparse input; those are modules of their own:
 * multinomial logistic regression with L2: sklearn minimises
   ``C * sum(loss) + ||w||^2 / 2``; MLlib minimises ``mean(loss) + reg/2
   ||w||^2``, so ``regParam = 1 / (C * n_train)``;
-* the 64-32 ReLU network -> ``MultilayerPerceptronClassifier`` (sigmoid
-  hidden units, softmax output; no dropout) with early stopping on a
-  separate validation split done as staged fits from the previous weights;
-* boosted trees -> ``GBTRegressor`` (learning rate, tree count as given).
-Parity is at the metric level; the MLlib algorithms differ.
+* the 64-32 ReLU network with dropout and Adam -> ``network.Network``, with early
+  stopping on a separate validation split;
+* boosted trees -> ``boosted_trees.BoostedTrees`` (learning rate, tree count as
+  given, leaf-wise growth).
+Parity is at the metric level; the solvers differ.
 """
 
 from __future__ import annotations
@@ -17,15 +17,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
-from pyspark.ml.feature import (IndexToString, PCA, StringIndexer, UnivariateFeatureSelector,
-                                VectorAssembler)
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import IndexToString, PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trendlens.operators.boosted_trees import BoostedTrees
+from trendlens.operators.network import Network, NetworkModel
+
 
 def as_vector(c) -> Column:
     """array<double> column -> MLlib vector (JVM-side)."""
@@ -51,20 +52,10 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return va.transform(tmp).drop(*[i for i in inputs if i.startswith("__v_")])
 
 
-def text_and_numbers(text: list[str], width: int, label: str, numbers: str = "numbers",
-                     out: str = "features") -> Pipeline:
-    """Feature stages of a dense network: of each sparse text vector the
-    ``width`` terms with the highest F statistic against the label, and a
-    vector of numbers.  MLlib's network is dense, so whole vocabularies
-    (10,000 terms a field) would make its first layer the cost of the job."""
-    stages = []
-    for c in text:
-        selector = UnivariateFeatureSelector(featuresCol=c, outputCol=f"{c}_selected",
-                                             labelCol=label, selectionMode="numTopFeatures")
-        stages.append(selector.setFeatureType("continuous").setLabelType("categorical")
-                      .setSelectionThreshold(width))
-    return Pipeline(stages=[*stages, VectorAssembler(
-        inputCols=[numbers, *[f"{c}_selected" for c in text]], outputCol=out)])
+def vector_width(df: DataFrame, col: str) -> int:
+    """The length of a vector column's rows; 0 without rows."""
+    row = df.where(F.col(col).isNotNull()).select(col).first()
+    return row[0].size if row else 0
 
 
 # ---- PCA --------------------------------------------------------------------
@@ -130,45 +121,20 @@ def finish_labels(model: PipelineModel, scored: DataFrame, out: str = "predictio
     return back.transform(scored)
 
 
-def _log_loss(scored: DataFrame, label_idx: str) -> float:
-    p = F.element_at(vector_to_array("probability"), F.col(label_idx).cast("int") + 1)
-    return scored.agg(F.avg(-F.log(F.greatest(p, F.lit(1e-15))))).first()[0]
-
-
 def train_mlp(train: DataFrame, valid: DataFrame, features: str, label: str, n_features: int,
-              hidden=(64, 32), max_epochs: int = 100, patience: int = 10, stage_iters: int = 10,
-              seed: int = 42, block_size: int = 32):
-    """M7: binary MLP with early stopping on a *validation* split (not the
-    test split): train in stages of ``stage_iters`` solver iterations from
-    the previous weights, keep the weights with the best validation log-loss,
-    stop once ``patience`` iterations pass without improvement."""
-    layers = [n_features, *hidden, 2]
-    lab = F.col(label).cast("double")
-    tr = train.withColumn("__y", lab)
-    va = valid.withColumn("__y", lab)
-    best, best_loss, since, weights, model = None, float("inf"), 0, None, None
-    for _ in range(0, max_epochs, stage_iters):
-        mlp = MultilayerPerceptronClassifier(featuresCol=features, labelCol="__y", layers=layers,
-                                             maxIter=stage_iters, seed=seed, blockSize=block_size)
-        if weights is not None:
-            mlp.setInitialWeights(weights)
-        model = mlp.fit(tr)
-        weights = model.weights
-        loss = _log_loss(model.transform(va), "__y")
-        if loss < best_loss - 1e-12:
-            best, best_loss, since = model, loss, 0
-        else:
-            since += stage_iters
-            if since >= patience:
-                break
-    return best or model
+              hidden=(64, 32), dropout: float = 0.3, max_epochs: int = 100, patience: int = 10,
+              batch_rows: int = 32, seed: int = 42) -> NetworkModel:
+    """M7: binary network with early stopping on a *validation* split (not the
+    test split); the weights with the least validation loss are kept."""
+    return Network(features, label, tuple(hidden), dropout, max_epochs, patience, batch_rows,
+                   seed=seed).fit(train, valid, n_features)
 
 
 def gbt_regressor(features: str, label: str, n_estimators: int = 100, learning_rate: float = 0.1,
-                  max_depth: int = 5, max_bins: int = 255, seed: int = 42) -> GBTRegressor:
-    """M8/M9: boosted regression trees."""
-    return GBTRegressor(featuresCol=features, labelCol=label, maxIter=n_estimators,
-                        stepSize=learning_rate, maxDepth=max_depth, maxBins=max_bins, seed=seed)
+                  num_leaves: int = 31, max_bins: int = 255) -> BoostedTrees:
+    """M8/M9: boosted regression trees, grown leaf by leaf."""
+    return BoostedTrees(features, label, n_estimators, learning_rate, num_leaves,
+                        max_bins=max_bins)
 
 
 def predictions(scored: DataFrame, actual: str, predicted: str = "prediction") -> DataFrame:

@@ -5,6 +5,7 @@ quality floors (beat the majority class / the mean predictor)."""
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from trendlens.operators import metrics as M
@@ -78,10 +79,6 @@ def model_roundtrip(spark, sf_dir):
     return ML.predictions(scored, "lang")
 
 
-#: Terms that the network sees of the documents' vocabulary.
-MLP_TEXT_WIDTH = 128
-
-
 def _toxic_model(spark, sf_dir):
     from trendlens.operators.encode import fit_scaler
     lab = table(spark, sf_dir, "labels").select("doc_id", "toxic").where("toxic IS NOT NULL")
@@ -93,10 +90,11 @@ def _toxic_model(spark, sf_dir):
     train_all = split.filter("split = 'train'").drop("split")
     inner = SP.stratified_split(train_all, "doc_id", "toxic", 0.2, 7)
     fit = inner.filter("split = 'train'")
-    prepare = ML.text_and_numbers(["text_tfidf"], MLP_TEXT_WIDTH, "toxic").fit(fit)
-    shown = prepare.transform(fit).checkpoint(eager=True)
+    prepare = PipelineModel(stages=[VectorAssembler(
+        inputCols=["numbers", "text_tfidf"], outputCol="features")])
+    shown = prepare.transform(fit)
     model = ML.train_mlp(shown, prepare.transform(inner.filter("split = 'test'")), "features",
-                         "toxic", shown.first()["features"].size)
+                         "toxic", ML.vector_width(shown, "features"))
     return PipelineModel(stages=[*prepare.stages, model]), split.filter("split = 'test'")
 
 
@@ -110,7 +108,7 @@ def _toxic_report(model, test):
 
 @register("mlp_toxic")
 def mlp_toxic(spark, sf_dir):
-    """M7 + F11 + A6: binary network on numerics and TF-IDF terms of labelled
+    """M7 + F11 + A6: binary network on numerics and all TF-IDF terms of labelled
     documents, early-stopped on a validation split carved from the training
     rows (never the test rows)."""
     return _toxic_report(*_toxic_model(spark, sf_dir))
@@ -230,7 +228,6 @@ def saved_pipeline(spark, sf_dir):
     """Scaler, vectoriser, assembler and classifier as one pipeline
     from words and numbers to a prediction, saved and loaded; every document is
     predicted by both."""
-    from pyspark.ml.feature import VectorAssembler
     from trendlens.operators.encode import fit_scaler
     from trendlens.operators.tfidf import fit_vocab, vector_stages
     d = table(spark, sf_dir, "documents", "doc_id").select(
@@ -316,11 +313,12 @@ def gbt_one_split(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(
         *_SPLIT_FEATURES, F.col("l_extendedprice").cast("double").alias("y"))
     feats = ML.assemble(li, _SPLIT_FEATURES)
-    model = ML.gbt_regressor("features", "y", n_estimators=1, max_depth=1).fit(feats)
-    root = model.trees[0]._call_java("rootNode")
-    split = root.split()
-    row = (split.featureIndex(), split.threshold(), root.leftChild().prediction(),
-           root.rightChild().prediction())
+    model = ML.gbt_regressor("features", "y", n_estimators=1, learning_rate=1.0,
+                             num_leaves=2).fit(feats)
+    a = model.arrays
+    means = a["value"] + a["start"]
+    row = (int(a["feature"][0]), float(a["threshold"][0]), float(means[a["left"][0]]),
+           float(means[a["right"][0]]))
     out = spark.createDataFrame([row], "feature int, threshold double, mean_below double, "
                                        "mean_above double")
     return out.select("feature", *[r6(F.col(c)).alias(c) for c in out.columns[1:]])
@@ -338,7 +336,7 @@ def gbt_saved(spark, sf_dir):
     split = SP.random_split(df, "row_key", 0.2, 42)
     feats = ML.assemble(split, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]).select(
         "row_key", "split", "features", "unit_ratio").checkpoint(eager=True)
-    model = ML.gbt_regressor("features", "unit_ratio", n_estimators=3, max_depth=3).fit(
+    model = ML.gbt_regressor("features", "unit_ratio", n_estimators=3, num_leaves=8).fit(
         feats.where("split = 'train'"))
     loaded = ML.load_pipeline(ML.save_model(model, scratch_path(spark, "gbt-small")))
     both = loaded.transform(model.transform(feats.where("split = 'test'"))
