@@ -21,3 +21,18 @@ def test_documents_are_not_moved_by_term(spark):
     df = spark.range(100).selectExpr("id", "array('aa', 'bb') AS words").checkpoint()
     plan = TF.corpus_stats(df, "id", "words")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(term" in plan
+
+
+def test_vectors_of_several_fields_are_made_where_the_row_lies(spark):
+    rows = [(1, ["aa", "bb", "aa", "c"], ["x"]), (2, ["bb", "zz"], []), (3, [], ["y"])]
+    df = spark.createDataFrame(rows, "id long, a array<string>, b array<string>").checkpoint()
+    vocabs = {c: TF.fit_vocab(df, "id", c, 10) for c in ("a", "b")}
+    parts = TF.tfidf_parts(df, ["a", "b"], vocabs)
+    assert "Exchange" not in parts._jdf.queryExecution().executedPlan().toString()
+    got = {(r["id"], i): w for r in parts.collect()
+           for i, w in zip(r["a_tfidf_idx"], r["a_tfidf_val"], strict=True)}
+    long = {(r["id"], r["term_index"]): r["weight"]
+            for r in TF.tfidf_long(df, "id", "a", vocabs["a"]).collect()}
+    assert got.keys() == long.keys()
+    assert all(abs(got[k] - long[k]) < 1e-12 for k in long)
+    assert all(r["b_tfidf_idx"] == [] and r["b_tfidf_val"] == [] for r in parts.collect())
