@@ -48,3 +48,14 @@ def test_pca_query_schema(spark):
     df = E.queries()["pca"](spark, SF_SMALL)
     assert df.columns == ["vec_id"] + [f"pc_{i}" for i in range(1, 8)]
     assert df.count() == spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").count()
+
+
+def test_category_features_are_made_once(spark):
+    """The fit's steps and the report read stored vectors, they do not make them again."""
+    from tests.conftest import SF_SMALL
+    from trendlens.plans import model_queries as MQ
+    from trendlens.session import prepare
+    model, test = MQ._category_model(prepare(spark), SF_SMALL)
+    plan = test._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan and "Exchange" not in plan
+    assert model.transform(test).count() == test.count() > 0

@@ -53,7 +53,9 @@ def _category_model(spark, sf_dir):
     category-from-text-and-numerics shape."""
     df = _doc_features(spark, sf_dir)
     split = SP.stratified_split(df, "doc_id", "lang", 0.2, 42)
-    feats = ML.assemble(split, ["log_chars", "text_tfidf"])
+    # Read by every step of the fit and by the report: vectors are made once.
+    feats = ML.assemble(split, ["log_chars", "text_tfidf"]).select(
+        "doc_id", "lang", "split", "features").checkpoint(eager=True)
     train = feats.filter("split = 'train'")
     model = ML.logistic_regression("features", "lang", train.count()).fit(train)
     return model, feats.filter("split = 'test'")
